@@ -37,7 +37,7 @@ def read_claims(spark: SparkSession, path: str) -> DataFrame:
 
 def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
     """Article files: the first line is the address, each further line a sentence."""
-    files = spark.read.option("wholetext", True).option("pathGlobFilter", "*.txt").text(folder)
+    files = spark.read.text(folder, wholetext=True, pathGlobFilter="*.txt")
     lines = F.split(F.regexp_replace("value", r"\n$", ""), "\n")
     return files.select(
         F.get(lines, F.lit(0)).alias("url"),
@@ -47,7 +47,7 @@ def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
 
 def read_ranked_lines(spark: SparkSession, path: str) -> DataFrame:
     """(rank, line) of one ranked word file; the rank is the line number, from 1."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     lines = whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("pos", "line"))
     return lines.select((F.col("pos") + 1).cast("bigint").alias("rank"), "line")
 
