@@ -233,13 +233,13 @@ BODIES = {
         select tweet_id, turn, like_str, {_parse('like_str')} as parsed,
                {_parse("replace(like_str, ',', '')")} as parsed_plain, like_count from v_comments""",
     "thread_rollup": """
-        select tweet_id, turn // 4 as part, count(*) as n, string_agg(comment, '|' order by turn) as comments,
+        select tweet_id, turn // 4 as part, cast(count(*) as integer) as n, string_agg(comment, '|' order by turn) as comments,
                string_agg(cast(like_count as varchar), ',' order by turn) as likes
         from v_comments group by tweet_id, turn // 4""",
     "thread_extract": f"""
         select cast(conv_id as varchar) || '/' || cast(turn as varchar) as tweet_url, k - 1 as position,
                case (k - 1) % 3 when 0 then '' when 1 then '4' else '1.5k' end as like_str,
-               't' || cast(k - 1 as varchar) as comment_time, comment, {_LINE_NODE} as like_count
+               't' || cast(k - 1 as varchar) as comment_time, comment, cast({_LINE_NODE} as bigint) as like_count
         from (select conv_id, turn, unnest(s) as comment, generate_subscripts(s, 1) as k
               from (select conv_id, turn, string_split(text, chr(10)) as s from conversations))""",
     "comment_explode": """
@@ -256,7 +256,7 @@ BODIES = {
                        string_agg(case when p.pos in ('a', 's') then lemma end, ' ' order by t.pos) as adj
                 from v_ctok t join v_lemma using (token) left join v_pos p on p.token = lemma
                 where t.token not in (select token from v_stop) group by all)
-        select news_id, turn // 1000 as part, any_value(favorite_count) as favorite_count, count(*) as n_comments,
+        select news_id, turn // 1000 as part, any_value(favorite_count) as favorite_count, cast(count(*) as integer) as n_comments,
                coalesce(string_agg(case when adj <> '' then adj end, ' ' order by turn), '') as tweets_tokens,
                string_agg(printf('%.4f', score), ',' order by turn) as scores,
                string_agg(cast(like_count as varchar), ',' order by turn) as likes,
@@ -316,14 +316,14 @@ BODIES = {
     "json_payload": "select news_id as key, news_keyword, tweet_url, retweet_count, favorite_count from v_seeds",
     "json_parse": "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events",
     "letter_tokens": """
-        select doc_id, len(t) as n, array_to_string(t, ' ') as tokens
+        select doc_id, cast(len(t) as integer) as n, array_to_string(t, ' ') as tokens
         from (select doc_id, regexp_extract_all(lower(text), '[a-z]+') as t from documents)""",
     "punct_tokens": rf"""
-        select doc_id, array_to_string(t, '|') as tokens, len(list_filter(t, lambda x: x <> '')) as n_kept
+        select doc_id, array_to_string(t, '|') as tokens, cast(len(list_filter(t, lambda x: x <> '')) as integer) as n_kept
         from (select doc_id, regexp_split_to_array(lower(text), '{_PUNCT}') as t from documents)""",
     "word_sequence": rf"""
         select doc_id, array_to_string(regexp_extract_all(lower(text), '{_WORD}'), ' ') as words,
-               len(regexp_extract_all(text, '{_SPACE}')) as n_pieces from documents""",
+               cast(len(regexp_extract_all(text, '{_SPACE}')) as integer) as n_pieces from documents""",
     "flatten_tokens": """
         select conv_id, turn, array_to_string(flatten(list_transform(
                  list_filter(string_split(text, chr(10)), lambda l: length(l) > 60),
@@ -349,51 +349,51 @@ BODIES = {
         select doc_id, token, count(*) as n from v_dtok
         where token not in (select token from v_stop) group by all""",
     "term_counts": "select doc_id, token, count(*) as n from v_dtok group by all",
-    "vocabulary_topk": "select token, n, idx from v_vocab",
+    "vocabulary_topk": "select token, n, cast(idx as integer) as idx from v_vocab",
     "vocabulary_index": "select token, idx from v_vocab",
     "article_extract": "select page_id, news_title, news_text, news_image from v_articles",
     "article_join": """
-        select news_id, news_title, length(news_text) as n_chars from v_seeds left join v_body on url = news_url""",
+        select news_id, news_title, cast(length(news_text) as integer) as n_chars from v_seeds left join v_body on url = news_url""",
     "article_results": "select * from v_article_results",
     "stream_articles": "select * from v_article_results",
     "document_merge": f"""
         with social as (select sha256(news_url || '#' || cast(tweet_id as varchar)) as news_id, favorite_count, weighted_sentiment_score
                         from v_tweets join v_weighted using (tweet_id)),
         art as (select sha256(url || '#' || cast(page_id * 4 as varchar)) as news_id, {_TITLE} as news_title from pages)
-        select coalesce(s.news_id, a.news_id) as news_id, 0 as part, favorite_count, weighted_sentiment_score, news_title,
+        select coalesce(s.news_id, a.news_id) as news_id, cast(0 as bigint) as part, favorite_count, weighted_sentiment_score, news_title,
                case when a.news_id is null then date '2024-01-02' else date '2024-01-03' end as date
         from social s full outer join art a on s.news_id = a.news_id""",
     "doc_index_matrix": "select * from v_index",
     "doc_lengths": """
-        select doc_id, count(*) as doc_length, sum(n) as n_words, max(n) as longest_sentence
+        select doc_id, count(*) as doc_length, cast(sum(n) as bigint) as n_words, max(n) as longest_sentence
         from (select doc_id, sent_pos, count(*) as n from v_index group by all) group by doc_id""",
     "padded_matrix": """
-        select doc_id, 10000 as cells, count(distinct sent_pos) as doc_length,
-               sum(cast(idx as bigint) * (sent_pos * 100 + word_pos + 1)) as checksum
+        select doc_id, 10000 as cells, cast(count(distinct sent_pos) as integer) as doc_length,
+               cast(sum(cast(idx as bigint) * (sent_pos * 100 + word_pos + 1)) as bigint) as checksum
         from v_index group by doc_id""",
     "label_join": """
         select doc_id, source, quality, cast(quality as varchar) || ',' || cast(1 - quality as varchar) as label_pair
         from documents join labels using (doc_id)""",
     "unlabelled_docs": "select doc_id, source from documents where doc_id not in (select doc_id from labels)",
     "vector_lookup": f"""
-        select idx, token, found, unnest(range({WIDTH})) as dim, round(unnest(vector), 6) as v from v_full""",
+        select cast(idx as integer) as idx, token, found, cast(unnest(range({WIDTH})) as integer) as dim, round(unnest(vector), 6) as v from v_full""",
     "vector_sequence": """
         select doc_id, count(*) as n, round(cast(sum(cast(vector[1] as decimal(20,12)) * (word_pos + 1)) as double), 4) as s
         from v_index join v_full using (idx) group by doc_id""",
     "doc_vector": f"""
-        select doc_id, dim, round(sum(e * x) / sum(e), 5) as v
+        select doc_id, cast(dim as integer) as dim, round(sum(e * x) / sum(e), 5) as v
         from (select doc_id, exp({_attention('vector', SENTENCES)}) as e, unnest(vector) as x, unnest(range({WIDTH})) as dim from v_doc_sent)
         group by all""",
     "attention_pool": f"""
-        select label, dim, round(sum(e * x) / sum(e), 6) as v
+        select label, cast(dim as integer) as dim, round(sum(e * x) / sum(e), 6) as v
         from (select label, exp({_attention('embedding::double[]', WORDS)}) as e, unnest(embedding::double[]) as x, unnest(range({WIDTH})) as dim from embeddings)
         group by all""",
     "attention_weights": f"""
         select vec_id, label, round(e / sum(e) over (partition by label), 8) as alpha
         from (select vec_id, label, exp({_attention('embedding::double[]', WORDS)}) as e from embeddings)""",
-    "fold_assign": "select doc_id, doc_id % 5 as fold from documents",
+    "fold_assign": "select doc_id, cast(doc_id % 5 as integer) as fold from documents",
     "accuracy_loss": """
-        select count(*) as n_docs, sum(ok) as n_correct, round(avg(ok), 6) as accuracy,
+        select count(*) as n_docs, cast(sum(ok) as bigint) as n_correct, round(avg(ok), 6) as accuracy,
                round(-avg(quality * ln(p) + (1 - quality) * ln(1 - p)), 6) as loss
         from (select *, case when (p > 0.5) = (quality = 1) then 1 else 0 end as ok
               from (select quality, cast((((doc_id * 37) % 100) + 0.5) / 100 as double) as p from labels))""",
