@@ -30,31 +30,43 @@ def unescape(text: Column) -> Column:
         char = F.decode(F.unhex(F.lpad(F.hex(point), 8, "0")), "UTF-32")
         return F.when(valid, F.concat(char, rest)).otherwise(piece)
 
-    decoded = F.when(text.rlike("&#[0-9]{1,7};"), F.array_join(F.transform(pieces, decode), "")).otherwise(text)
+    decoded = F.when(F.contains(text, F.lit("&#")), F.array_join(F.transform(pieces, decode), "")).otherwise(text)
     for name, char in ENTITIES:
         decoded = F.replace(decoded, F.lit(name), F.lit(char))
     return decoded
 
 
-def _tidy(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"[ \t\r\f]+", " "))
+def raw_title(html: Column) -> Column:
+    """Content of the title element without tags; empty if absent."""
+    return F.regexp_replace(F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1), r"<[^>]*>", "")
 
 
-def title(html: Column) -> Column:
-    """Content of the title element, tags and surplus blanks removed; empty if absent."""
-    raw = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
-    return F.trim(F.regexp_replace(unescape(F.regexp_replace(raw, r"<[^>]*>", "")), r"\s+", " "))
+def one_line(text: Column) -> Column:
+    """Text with every run of white space as one blank, trimmed."""
+    return F.trim(F.regexp_replace(text, r"\s+", " "))
 
 
-def body(html: Column) -> Column:
-    """Readable text: the article element if there is one, else the body, one block per line."""
-    cleaned = F.regexp_replace(html, DROPPED_BLOCKS, " ")
-    article = F.regexp_extract(cleaned, r"(?is)<article\b[^>]*>(.*)</article>", 1)
-    whole = F.regexp_extract(cleaned, r"(?is)<body\b[^>]*>(.*)</body>", 1)
-    chosen = F.when(article != "", article).when(whole != "", whole).otherwise(F.lit(""))
-    lines = F.regexp_replace(F.regexp_replace(chosen, BLOCK_ENDS, "\n"), r"<[^>]*>", "")
-    text = _tidy(unescape(lines))
-    return F.trim(F.regexp_replace(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), r"^\n+|\n+$", ""))
+def without_blocks(html: Column) -> Column:
+    """Page without comments, scripts, styles and navigation."""
+    return F.regexp_replace(html, DROPPED_BLOCKS, " ")
+
+
+def main_part(html: Column) -> Column:
+    """Content of the article element if there is one, else of the body, else nothing."""
+    article = F.regexp_extract(html, r"(?is)<article\b[^>]*>(.*)</article>", 1)
+    whole = F.regexp_extract(html, r"(?is)<body\b[^>]*>(.*)</body>", 1)
+    return F.when(F.contains(F.lower(html), F.lit("</article>")) & (article != ""), article).otherwise(whole)
+
+
+def block_lines(html: Column) -> Column:
+    """Text without tags, one block per line."""
+    return F.regexp_replace(F.regexp_replace(html, BLOCK_ENDS, "\n"), r"<[^>]*>", "")
+
+
+def tidy_lines(text: Column) -> Column:
+    """Lines without surplus blanks and without empty lines."""
+    flat = F.trim(F.regexp_replace(text, r"[ \t\r\f]+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(flat, r" ?\n[ \n]*", "\n"), r"^\n+|\n+$", ""))
 
 
 def lead_image(html: Column) -> Column:

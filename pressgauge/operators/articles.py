@@ -12,15 +12,25 @@ from pressgauge.operators import sentiment, tokens
 
 
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:
-    """Pages with ``news_title``, ``news_text`` and ``news_image`` in place of the HTML."""
+    """Pages with ``news_title``, ``news_text`` and ``news_image`` in place of the HTML.
+
+    One step per projection, as an expression used twice in one projection is evaluated twice. The
+    result comes out of a generator, so that filters on it are not pushed down and evaluated anew.
+    """
     others = [c for c in pages.columns if c != page]
     source = F.coalesce(F.col(page), F.lit(""))
-    return pages.select(
-        *others,
-        html.title(source).alias("news_title"),
-        html.body(source).alias("news_text"),
-        html.lead_image(source).alias("news_image"),
+    steps = pages.select(
+        *others, html.raw_title(source).alias("_title"), html.without_blocks(source).alias("_page"),
+        html.lead_image(source).alias("_image"),
+    )
+    steps = steps.withColumn("_page", html.main_part(F.col("_page")))
+    steps = steps.withColumn("_page", html.block_lines(F.col("_page")))
+    found = F.struct(
+        html.one_line(html.unescape(F.col("_title"))).alias("news_title"),
+        html.tidy_lines(html.unescape(F.col("_page"))).alias("news_text"),
+        F.col("_image").alias("news_image"),
     )
+    return steps.select(*others, F.inline(F.array(found)))
 
 
 def readable(articles: DataFrame) -> DataFrame:
@@ -50,7 +60,7 @@ def enrich(
     scores = sentiment.collect_scores(
         sentiment.score_sentences(useful, ["news_id"], "news_text", lexicon, small=small), ["news_id"]
     )
-    rows = tokens.without_stop_words(tokens.token_rows(useful, ["news_id"], "news_text"), stop, small=small)
+    rows = tokens.without_stop_words(tokens.token_rows(useful, ["news_id"], "news_text", by_id=True), stop, small=small)
     lemma_text = tokens.collect_tokens(tokens.lemmatize(rows, lemmas, small=small), ["news_id"], out="_t") \
         .select("news_id", F.array_join("_t", " ").alias("news_tokens"))
     return (

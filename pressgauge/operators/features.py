@@ -33,8 +33,13 @@ def unlabelled(docs: DataFrame, labels: DataFrame, key: str) -> DataFrame:
 
 
 def word_rows(docs: DataFrame, ids: Sequence[str], sentences: Column, max_sentences: int = MAX_SENTENCES) -> DataFrame:
-    """Words of the first sentences of each document: ids, ``sent_pos``, ``pos``, ``token``."""
-    kept = docs.select(*ids, F.posexplode(F.slice(sentences, 1, max_sentences)).alias("sent_pos", "sentence"))
+    """Words of the first sentences of each document: ids, ``sent_pos``, ``pos``, ``token``.
+
+    Documents are shuffled by id before they are taken apart: numbering words and regrouping them
+    by sentence and document then needs no further shuffle.
+    """
+    parts = docs.select(*ids, F.slice(sentences, 1, max_sentences).alias("_s")).repartition(*ids)
+    kept = parts.select(*ids, F.posexplode("_s").alias("sent_pos", "sentence"))
     return kept.select(*ids, "sent_pos", F.posexplode(text_fn.word_sequence(F.col("sentence"))).alias("pos", "token"))
 
 
@@ -85,9 +90,9 @@ def matrix(
 
 def matrix_lengths(df: DataFrame, matrix_column: str = "matrix") -> DataFrame:
     """Lengths read off a padded matrix: per sentence, and the count of non-empty sentences."""
-    per_sentence = F.transform(matrix_column, lambda row: F.size(F.filter(row, lambda v: v != 0)))
+    per_sentence = F.transform(matrix_column, lambda row: F.size(F.array_remove(row, 0)))
     with_lengths = df.withColumn("sentence_lengths", per_sentence)
-    return with_lengths.withColumn("doc_length", F.size(F.filter("sentence_lengths", lambda n: n > 0)))
+    return with_lengths.withColumn("doc_length", F.size(F.array_remove("sentence_lengths", 0)))
 
 
 def lengths(index: DataFrame, ids: Sequence[str]) -> DataFrame:

@@ -17,9 +17,10 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressgauge.operators import features
-from pressgauge.operators.joins import is_small, lookup
+from pressgauge.operators.joins import lookup
 
 SAFE_BOUND = 300.0
+MATRIX_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -94,11 +95,11 @@ def document_vectors(
     Documents travel as index arrays. The vector table, if small, is broadcast as one matrix and
     looked up inside the tasks, so no vector is shuffled before it is pooled.
     """
-    if not is_small(table, max_rows=50_000):
-        return document_vectors_by_join(index, table, ids, words, sentences, out)
     spark = index.sparkSession
-    # At most 50,000 rows, checked above.
-    entries = table.select("idx", "vector").toPandas()
+    # The limit bounds what reaches the driver; one row more than allowed means too large.
+    entries = table.select("idx", "vector").limit(MATRIX_ROWS + 1).toPandas()
+    if len(entries) > MATRIX_ROWS:
+        return document_vectors_by_join(index, table, ids, words, sentences, out)
     lookup_matrix = np.zeros((int(entries["idx"].max()) + 1, len(entries["vector"].iloc[0])))
     lookup_matrix[entries["idx"].to_numpy()] = np.stack(entries["vector"].to_numpy())
     word_weight = np.exp(words.scores(lookup_matrix) - words.bound)

@@ -1,7 +1,7 @@
 """Token tables: one row per token with its position, and the joins that filter or map them.
 
-The long form (id columns, ``pos``, ``token``) keeps text out of every shuffle: only tokens that
-survive the dictionary joins are regrouped, by document, in position order.
+The long form is id columns, ``pos``, ``token``. Dictionary joins broadcast the dictionary; tokens
+that are wanted back as one list per text are regrouped by id, in position order.
 """
 
 from __future__ import annotations
@@ -21,9 +21,16 @@ def token_rows(
     ids: Sequence[str],
     text: str = "text",
     tokenizer: Callable[[Column], Column] = text_fn.letter_tokens,
+    *,
+    by_id: bool = False,
 ) -> DataFrame:
-    """One row per token: id columns, ``pos``, ``token``."""
-    return df.select(*ids, F.posexplode(tokenizer(F.col(text))).alias("pos", "token"))
+    """One row per token: id columns, ``pos``, ``token``.
+
+    ``by_id`` shuffles the texts by id first. Do so when the tokens are regrouped by id later: that
+    step then needs no shuffle, and a text is far smaller than its token rows.
+    """
+    source = df.select(*ids, text).repartition(*ids) if by_id else df
+    return source.select(*ids, F.posexplode(tokenizer(F.col(text))).alias("pos", "token"))
 
 
 def collect_tokens(rows: DataFrame, ids: Sequence[str], token: str = "token", out: str = "tokens") -> DataFrame:

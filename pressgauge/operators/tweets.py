@@ -76,15 +76,15 @@ def keep_popular(tweets: DataFrame, minimum: int = MIN_FAVOURITES) -> DataFrame:
 
 
 def phrase_rows(df: DataFrame, ids: Sequence[str], tokens: Column, max_words: int) -> DataFrame:
-    """Distinct word runs of up to ``max_words`` words per row: id columns and ``phrase``."""
+    """Word runs of up to ``max_words`` words per row: id columns and ``phrase``."""
     words = df.select(*ids, tokens.alias("_w"))
 
     def runs_of(n: int) -> Column:
-        starts = F.slice(F.sequence(F.lit(1), F.size("_w") + 1), F.lit(1), F.greatest(F.size("_w") - (n - 1), F.lit(0)))
-        return F.transform(starts, lambda i: F.array_join(F.slice("_w", i, n), " "))
+        starts = F.slice(F.sequence(F.lit(0), F.size("_w")), F.lit(1), F.greatest(F.size("_w") - (n - 1), F.lit(0)))
+        return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get("_w", i + k) for k in range(n)]))
 
     runs = [F.col("_w"), *[runs_of(n) for n in range(2, max_words + 1)]]
-    return words.select(*ids, F.explode(F.array_distinct(F.concat(*runs))).alias("phrase"))
+    return words.select(*ids, F.explode(F.concat(*runs) if len(runs) > 1 else runs[0]).alias("phrase"))
 
 
 def longest_phrase(phrases: DataFrame, phrase: str = "phrase") -> int:
@@ -124,7 +124,8 @@ def searchable(tweets: DataFrame, language: str = "en") -> DataFrame:
 
 
 def find_hits(
-    tweets: DataFrame, keywords: DataFrame, *, minimum: int = MIN_FAVOURITES, max_words: int | None = None
+    tweets: DataFrame, keywords: DataFrame, *, minimum: int = MIN_FAVOURITES, max_words: int | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Hits (tweet_id, news_keyword, counts, urls) of keywords in flattened tweets.
 
@@ -132,7 +133,7 @@ def find_hits(
     """
     pool = keep_article_links(keep_popular(searchable(tweets), minimum))
     columns = ["tweet_id", "retweet_count", "favorite_count", "tweet_url", "news_url"]
-    found = search_keywords(pool, keywords, columns, max_words=max_words)
+    found = search_keywords(pool, keywords, columns, max_words=max_words, small=small)
     return found.select("tweet_id", "news_keyword", "retweet_count", "favorite_count", "tweet_url", "news_url")
 
 

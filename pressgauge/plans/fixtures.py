@@ -40,7 +40,7 @@ class Inputs:
         return read_table(self.spark, self.folder, name)
 
     def titles(self) -> DataFrame:
-        first = F.split_part("text", F.lit("."), F.lit(1))
+        first = F.substring_index("text", ".", 1)
         return self.table("documents").select("doc_id", "lang", F.concat(first, F.lit(" - "), "source").alias("title"))
 
     def tweets(self) -> DataFrame:
@@ -113,7 +113,7 @@ class Inputs:
     def phrases(self) -> DataFrame:
         """The twenty most frequent word pairs."""
         pairs = tweets.phrase_rows(
-            self.table("documents").where("lang = 'en'"), ["doc_id"], text_fn.letter_tokens(F.col("text")), 2
+            self.table("documents").where("lang = 'en'"), [], text_fn.letter_tokens(F.col("text")), 2
         ).where(F.contains("phrase", F.lit(" ")))
         ranked = pairs.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
         return ranked.orderBy(F.desc("n"), "phrase").limit(20).select("phrase")

@@ -90,8 +90,8 @@ VIEWS = {
     "v_pos": "select token, case idx % 4 when 0 then 'a' when 1 then 's' when 2 then 'n' else 'v' end as pos from v_vocab",
     "v_phrases": """
         select phrase from (
-          select doc_id, unnest(list_distinct(list_transform(range(1, len(t)), lambda k: t[k] || ' ' || t[k + 1]))) as phrase
-          from (select doc_id, regexp_extract_all(lower(text), '[a-z]+') as t from documents where lang = 'en'))
+          select unnest(list_transform(range(1, len(t)), lambda k: t[k] || ' ' || t[k + 1])) as phrase
+          from (select regexp_extract_all(lower(text), '[a-z]+') as t from documents where lang = 'en'))
         group by phrase order by count(*) desc, phrase limit 20""",
     "v_keywords": """
         select token as keyword from v_vocab where idx between 50 and 70
@@ -368,9 +368,10 @@ BODIES = {
         select doc_id, count(*) as doc_length, cast(sum(n) as bigint) as n_words, max(n) as longest_sentence
         from (select doc_id, sent_pos, count(*) as n from v_index group by all) group by doc_id""",
     "padded_matrix": """
-        select doc_id, 10000 as cells, cast(count(distinct sent_pos) as integer) as doc_length,
-               cast(sum(cast(idx as bigint) * (sent_pos * 100 + word_pos + 1)) as bigint) as checksum
-        from v_index group by doc_id""",
+        select doc_id, cast(count(*) over (partition by doc_id) as integer) as doc_length, sent_pos, 100 as width,
+               cast(n as integer) as length, ids
+        from (select doc_id, sent_pos, count(*) as n, string_agg(cast(idx as varchar), ',' order by word_pos) as ids
+              from v_index group by all)""",
     "label_join": """
         select doc_id, source, quality, cast(quality as varchar) || ',' || cast(1 - quality as varchar) as label_pair
         from documents join labels using (doc_id)""",

@@ -146,7 +146,7 @@ def latest_counts(i: Inputs) -> DataFrame:
 def title_trim(i: Inputs) -> DataFrame:
     title = F.col("title")
     return i.titles().select("doc_id", text_fn.trim_headline(title).alias("title"),
-                             text_fn.trim_headline(F.split_part("title", F.lit(" - "), F.lit(1)), strict=True).alias("strict_title"))
+                             text_fn.trim_headline(F.substring_index("title", " - ", 1), strict=True).alias("strict_title"))
 
 
 @register
@@ -157,7 +157,7 @@ def language_filter(i: Inputs) -> DataFrame:
 @register
 def text_union(i: Inputs) -> DataFrame:
     rows = i.table("documents").select(
-        "doc_id", F.split_part("text", F.lit("."), F.lit(1)).alias("title"), F.col("source").alias("description"),
+        "doc_id", F.substring_index("text", ".", 1).alias("title"), F.col("source").alias("description"),
         F.split_part("text", F.lit("."), F.lit(2)).alias("content"),
     )
     return keywords.headline_texts(rows)
@@ -190,7 +190,7 @@ def tweet_flatten(i: Inputs) -> DataFrame:
 @register
 def tweet_hits(i: Inputs) -> DataFrame:
     """Raw tweets and keywords to hits: language, link, threshold, host and keyword filters."""
-    return tweets.find_hits(tweets.flatten_tweets(i.tweet_json()), i.keywords(), max_words=2)
+    return tweets.find_hits(tweets.flatten_tweets(i.tweet_json()), i.keywords(), max_words=2, small=True)
 
 
 @register
@@ -265,15 +265,15 @@ def json_parse(i: Inputs) -> DataFrame:
 
 @register
 def letter_tokens(i: Inputs) -> DataFrame:
-    found = text_fn.letter_tokens(F.col("text"))
-    return i.table("documents").select("doc_id", F.size(found).alias("n"), _join(found).alias("tokens"))
+    found = i.table("documents").select("doc_id", text_fn.letter_tokens(F.col("text")).alias("found"))
+    return found.select("doc_id", F.size("found").alias("n"), _join("found").alias("tokens"))
 
 
 @register
 def punct_tokens(i: Inputs) -> DataFrame:
-    found = text_fn.punct_tokens(F.col("text"))
-    kept = text_fn.drop_empty_tokens(found)
-    return i.table("documents").select("doc_id", _join(found, "|").alias("tokens"), F.size(kept).alias("n_kept"))
+    found = i.table("documents").select("doc_id", text_fn.punct_tokens(F.col("text")).alias("found"))
+    kept = text_fn.drop_empty_tokens(F.col("found"))
+    return found.select("doc_id", _join("found", "|").alias("tokens"), F.size(kept).alias("n_kept"))
 
 
 @register
@@ -295,13 +295,13 @@ def flatten_tokens(i: Inputs) -> DataFrame:
 def stopword_filter(i: Inputs) -> DataFrame:
     more = i.vocab().where("idx between 20 and 40").select("token")
     stop = tokens.union_stop_words(i.stop(), more)
-    rows = tokens.without_stop_words(tokens.token_rows(i.table("documents"), ["doc_id"]), stop, small=True)
+    rows = tokens.without_stop_words(tokens.token_rows(i.table("documents"), ["doc_id"], by_id=True), stop, small=True)
     return tokens.collect_tokens(rows, ["doc_id"]).withColumn("tokens", _join("tokens"))
 
 
 @register
 def lemma_filter(i: Inputs) -> DataFrame:
-    rows = tokens.lemmatize(tokens.token_rows(i.table("documents"), ["doc_id"]), i.lemmas(), small=True)
+    rows = tokens.lemmatize(tokens.token_rows(i.table("documents"), ["doc_id"], by_id=True), i.lemmas(), small=True)
     return tokens.collect_tokens(rows, ["doc_id"]).withColumn("tokens", _join("tokens"))
 
 
@@ -316,7 +316,8 @@ def lemma_rules(i: Inputs) -> DataFrame:
 
 @register
 def adjective_filter(i: Inputs) -> DataFrame:
-    rows = tokens.of_speech(tokens.token_rows(i.comments(), ["tweet_id", "turn"], "comment"), i.speech(), small=True)
+    words = tokens.token_rows(i.comments(), ["tweet_id", "turn"], "comment", by_id=True)
+    rows = tokens.of_speech(words, i.speech(), small=True)
     return tokens.collect_tokens(rows, ["tweet_id", "turn"]).withColumn("tokens", _join("tokens"))
 
 
@@ -417,14 +418,14 @@ def doc_lengths(i: Inputs) -> DataFrame:
 
 @register
 def padded_matrix(i: Inputs) -> DataFrame:
-    """Padded matrices with their lengths and a weighted checksum of their cells."""
+    """Padded matrices with their lengths, shown by non-empty row."""
     full = features.matrix_lengths(features.matrix(_index(i), ["doc_id"]))
-    flat = F.flatten("matrix")
-    check = F.aggregate(
-        F.zip_with(flat, F.sequence(F.lit(1), F.size(flat)), lambda v, n: v.cast("bigint") * n),
-        F.lit(0).cast("bigint"), lambda a, v: a + v,
+    rows = full.select("doc_id", "doc_length", "sentence_lengths", F.posexplode("matrix").alias("sent_pos", "cells"))
+    length = F.get("sentence_lengths", F.col("sent_pos"))
+    return rows.where(length > 0).select(
+        "doc_id", "doc_length", "sent_pos", F.size("cells").alias("width"), length.alias("length"),
+        _join(F.slice("cells", F.lit(1), length).cast("array<string>"), ",").alias("ids"),
     )
-    return full.select("doc_id", F.size(flat).alias("cells"), "doc_length", check.alias("checksum"))
 
 
 @register
@@ -631,7 +632,7 @@ def source_roundtrip(i: Inputs) -> DataFrame:
     titles, seeds = sink.stored(i.titles(), "titles"), sink.stored(i.seeds(), "seeds")
     sink.write_lines(titles.select(F.regexp_replace("title", "\n", " ").alias("title")), f"{base}/lines", "title")
     heads = i.table("documents").select(
-        F.split_part("text", F.lit("."), F.lit(1)).alias("title"), F.lit(None).cast("string").alias("description"),
+        F.substring_index("text", ".", 1).alias("title"), F.lit(None).cast("string").alias("description"),
         F.col("text").alias("content"), F.col("doc_id").cast("string").alias("url"), "lang",
     )
     sink.write_json(heads, f"{base}/json")

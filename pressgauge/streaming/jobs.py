@@ -24,7 +24,15 @@ def upsert_stream(
     """Upsert every micro-batch into a document table, after an optional batch transformation."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        documents.upsert(transform(batch) if transform else batch, path, batch_id, modified)
+        if transform is None:
+            documents.upsert(batch, path, batch_id, modified)
+            return
+        # A transformation may read its input several times; the stream is to run only once.
+        batch.persist()
+        try:
+            documents.upsert(transform(batch), path, batch_id, modified)
+        finally:
+            batch.unpersist()
 
     return stream_writer(rows, checkpoint, mode, **how).foreachBatch(write).start()
 
@@ -70,14 +78,14 @@ def article_stream(
     once = state.without_replays(seeds, ["news_id", "news_url"], event_time, delay)
 
     def enrich(batch: DataFrame) -> DataFrame:
-        found = articles.enrich(articles.fetch(batch, pages), **tables)
+        found = articles.enrich(batch, **tables)
         if model is not None:
             ready = found.withColumn("tokens", text_fn.whitespace_tokens(found.news_tokens))
             judged = credibility.predict(model, ready, found.columns)
             found = judged.withColumn("prediction", judged.label_text).drop("label_text", "probability")
         return documents.with_date(records.article_document(found))
 
-    return upsert_stream(once, path, checkpoint, mode="append", transform=enrich, **how)
+    return upsert_stream(articles.fetch(once, pages), path, checkpoint, mode="append", transform=enrich, **how)
 
 
 def run_to_end(query: StreamingQuery) -> None:
