@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from pressgauge.functions import html
 from pressgauge.functions.text import is_present
 from pressgauge.operators import sentiment, tokens
+from pressgauge.operators.joins import lookup
 
 
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:
@@ -38,13 +39,18 @@ def readable(articles: DataFrame) -> DataFrame:
     return articles.where(is_present(F.col("news_title")) & is_present(F.col("news_text")))
 
 
-def fetch(seeds: DataFrame, pages: DataFrame, columns: Sequence[str] = ("news_id", "news_url")) -> DataFrame:
+def fetch(
+    seeds: DataFrame, pages: DataFrame, columns: Sequence[str] = ("news_id", "news_url"), *, small: bool | None = None
+) -> DataFrame:
     """Seeds with their stored page, extracted; a seed without page gets empty strings.
 
-    Only pages that are asked for are extracted, and only seed columns in ``columns`` travel.
+    Pages nobody asks for are dropped first, without a shuffle if the seeds are few; the others are
+    extracted before the join, so the HTML does not travel with the seeds.
     """
     stored = pages.select(F.col("url").alias("news_url"), "html")
-    return extract(seeds.select(*columns).join(stored, "news_url", "left"))
+    wanted = lookup(stored, seeds.select("news_url").distinct(), "news_url", "left_semi", small=small)
+    joined = seeds.select(*columns).join(extract(wanted), "news_url", "left")
+    return joined.na.fill("", ["news_title", "news_text", "news_image"])
 
 
 def enrich(

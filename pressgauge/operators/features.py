@@ -39,7 +39,7 @@ def word_rows(docs: DataFrame, ids: Sequence[str], sentences: Column, max_senten
     by sentence and document then needs no further shuffle.
     """
     parts = docs.select(*ids, F.slice(sentences, 1, max_sentences).alias("_s")).repartition(*ids)
-    kept = parts.select(*ids, F.posexplode("_s").alias("sent_pos", "sentence"))
+    kept = parts.select(*ids, F.posexplode_outer("_s").alias("sent_pos", "sentence"))
     return kept.select(*ids, "sent_pos", F.posexplode(text_fn.word_sequence(F.col("sentence"))).alias("pos", "token"))
 
 

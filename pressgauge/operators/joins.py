@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SPREAD = 64
+HOT_SHARE = 0.005
 
 
 def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -20,6 +21,15 @@ def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int =
     return size.n <= max_rows and size.size <= max_bytes
 
 
+def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+    """Hashes of all keys that hold at least ``share`` of the rows; at most a few per 1 / share.
+
+    One pass without shuffle; a key that is listed without being hot does no harm.
+    """
+    hashed = facts.select(F.xxhash64(*keys).alias("key"))
+    return list(hashed.freqItems(["key"], share).first()[0] or [])
+
+
 def lookup(
     facts: DataFrame,
     table: DataFrame,
@@ -30,12 +40,12 @@ def lookup(
     salt: Column | None = None,
     spread: int = SPREAD,
 ) -> DataFrame:
-    """Join facts to a lookup table that holds each key once.
+    """Join facts to a lookup table.
 
     A table proven small (``small=True`` where the plan bounds it, else measured) is broadcast, so
-    the facts are not shuffled. A larger one is copied ``spread`` times and joined on key and salt,
-    so that a key holding a large share of the facts is spread over ``spread`` tasks. ``salt`` must
-    be a repeatable expression over the facts; by default it hashes the whole row.
+    the facts are not shuffled. Beyond that both sides are shuffled by key; rows of hot keys are
+    spread over ``spread`` salts, and only the hot keys of the table are copied to each of them.
+    ``salt`` must be a repeatable expression over the facts; by default it hashes the whole row.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup does not do {how} joins")
@@ -44,9 +54,14 @@ def lookup(
         small = is_small(table)
     if small:
         return facts.join(F.broadcast(table), keys, how)
+    hot = [] if facts.isStreaming else hot_keys(facts, keys)
+    if not hot:
+        return facts.join(table, keys, how)
+    is_hot = F.xxhash64(*keys).isin(hot)
     chosen = salt if salt is not None else F.xxhash64(*[F.col(c) for c in _hashable(facts)])
-    salted = facts.withColumn("_salt", F.pmod(chosen, F.lit(spread)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
+    salted = facts.withColumn("_salt", F.when(is_hot, F.pmod(chosen, F.lit(spread))).otherwise(0).cast("int"))
+    everywhere = F.sequence(F.lit(0), F.lit(spread - 1))
+    copies = table.withColumn("_salt", F.explode(F.when(is_hot, everywhere).otherwise(F.array(F.lit(0)))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 

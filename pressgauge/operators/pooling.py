@@ -17,7 +17,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressgauge.operators import features
-from pressgauge.operators.joins import lookup
 
 SAFE_BOUND = 300.0
 MATRIX_ROWS = 50_000
@@ -57,7 +56,7 @@ def _weighted(df: DataFrame, group: Sequence[str], vector: str, attention: Atten
     if attention.bound <= SAFE_BOUND:
         return scored.withColumn("_e", F.exp(F.col("_s") - F.lit(attention.bound)))
     tops = scored.groupBy(*group).agg(F.max("_s").alias("_top"))
-    return lookup(scored, tops, list(group)).withColumn("_e", F.exp(F.col("_s") - F.col("_top"))).drop("_top")
+    return scored.join(tops, list(group)).withColumn("_e", F.exp(F.col("_s") - F.col("_top"))).drop("_top")
 
 
 def pool(df: DataFrame, group: Sequence[str], vector: str, attention: Attention, out: str = "pooled") -> DataFrame:
@@ -68,10 +67,14 @@ def pool(df: DataFrame, group: Sequence[str], vector: str, attention: Attention,
 
 
 def weights(df: DataFrame, group: Sequence[str], vector: str, attention: Attention, out: str = "alpha") -> DataFrame:
-    """Rows with their softmax weight within the group."""
+    """Rows with their softmax weight within the group.
+
+    The group sums are joined back rather than windowed: Spark broadcasts them if they turn out
+    small and splits a hot group if not, while a window would hold the group in one task.
+    """
     rows = _weighted(df, group, vector, attention).drop("_s")
     sums = rows.groupBy(*group).agg(F.sum("_e").alias("_total"))
-    return lookup(rows, sums, list(group)).withColumn(out, F.col("_e") / F.col("_total")).drop("_e", "_total")
+    return rows.join(sums, list(group)).withColumn(out, F.col("_e") / F.col("_total")).drop("_e", "_total")
 
 
 def join_directions(forward: Column, backward: Column) -> Column:

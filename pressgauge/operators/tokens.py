@@ -13,7 +13,7 @@ from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, RegexToken
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pressgauge.functions import text as text_fn
-from pressgauge.operators.joins import lookup
+from pressgauge.operators.joins import BROADCAST_ROWS, lookup
 
 
 def token_rows(
@@ -83,7 +83,9 @@ def lemmatize_with_suffixes(
         "lemma", "left_semi", small=small,
     )
     best = found.groupBy("token").agg(F.min(F.struct("rank", "lemma")).alias("best"))
-    return lemmatize(rows, best.select("token", F.col("best.lemma").alias("lemma")))
+    # Not known to be small: Spark picks the join by the size it finds, and splits hot tokens.
+    joined = rows.join(best.select("token", F.col("best.lemma").alias("lemma")), "token")
+    return joined.withColumn("token", F.col("lemma")).drop("lemma")
 
 
 def of_speech(rows: DataFrame, speech: DataFrame, tags: Sequence[str] = ("a", "s"), small: bool | None = None) -> DataFrame:
@@ -145,7 +147,8 @@ def count_vector_rows(model: CountVectorizerModel, counted: DataFrame, ids: Sequ
     entries = F.unwrap_udt(model.getOutputCol())
     pairs = F.arrays_zip(entries["indices"].alias("word"), entries["values"].alias("n"))
     rows = counted.select(*ids, F.inline(pairs).alias("word", "n"))
-    return lookup(rows, words, "word").select(*ids, "token", F.col("n").cast("bigint").alias("n"))
+    small = len(model.vocabulary) <= BROADCAST_ROWS
+    return lookup(rows, words, "word", small=small).select(*ids, "token", F.col("n").cast("bigint").alias("n"))
 
 
 def _row_salt(rows: DataFrame) -> Column:

@@ -75,15 +75,15 @@ def keep_popular(tweets: DataFrame, minimum: int = MIN_FAVOURITES) -> DataFrame:
     return tweets.where(F.col("favorite_count") >= F.lit(minimum))
 
 
-def phrase_rows(df: DataFrame, ids: Sequence[str], tokens: Column, max_words: int) -> DataFrame:
-    """Word runs of up to ``max_words`` words per row: id columns and ``phrase``."""
+def phrase_rows(df: DataFrame, ids: Sequence[str], tokens: Column, max_words: int, min_words: int = 1) -> DataFrame:
+    """Runs of ``min_words`` to ``max_words`` words per row: id columns and ``phrase``."""
     words = df.select(*ids, tokens.alias("_w"))
 
     def runs_of(n: int) -> Column:
         starts = F.slice(F.sequence(F.lit(0), F.size("_w")), F.lit(1), F.greatest(F.size("_w") - (n - 1), F.lit(0)))
         return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get("_w", i + k) for k in range(n)]))
 
-    runs = [F.col("_w"), *[runs_of(n) for n in range(2, max_words + 1)]]
+    runs = [F.col("_w") if n == 1 else runs_of(n) for n in range(min_words, max_words + 1)]
     return words.select(*ids, F.explode(F.concat(*runs) if len(runs) > 1 else runs[0]).alias("phrase"))
 
 

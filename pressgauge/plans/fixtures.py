@@ -13,6 +13,7 @@ from pressgauge import schemas
 from pressgauge.functions import counts
 from pressgauge.functions import text as text_fn
 from pressgauge.operators import pooling, tokens, tweets
+from pressgauge.sinks.files import stored
 from pressgauge.sources.files import read_table
 
 VOCABULARY = 1000
@@ -35,6 +36,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._vocab: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
@@ -82,7 +84,14 @@ class Inputs:
     def english_tokens(self) -> DataFrame:
         return tokens.token_rows(self.table("documents").where("lang = 'en'"), ["doc_id"])
 
+    def store_vocab(self) -> Inputs:
+        """Write the vocabulary once, for queries that read it many times."""
+        self._vocab = stored(self.vocab(), "vocabulary")
+        return self
+
     def vocab(self) -> DataFrame:
+        if self._vocab is not None:
+            return self._vocab
         return tokens.vocabulary(self.english_tokens(), VOCABULARY, min_length=3)
 
     def lexicon(self) -> DataFrame:
@@ -113,8 +122,8 @@ class Inputs:
     def phrases(self) -> DataFrame:
         """The twenty most frequent word pairs."""
         pairs = tweets.phrase_rows(
-            self.table("documents").where("lang = 'en'"), [], text_fn.letter_tokens(F.col("text")), 2
-        ).where(F.contains("phrase", F.lit(" ")))
+            self.table("documents").where("lang = 'en'"), [], text_fn.letter_tokens(F.col("text")), 2, min_words=2
+        )
         ranked = pairs.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
         return ranked.orderBy(F.desc("n"), "phrase").limit(20).select("phrase")
 

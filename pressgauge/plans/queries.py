@@ -113,6 +113,7 @@ def comment_explode_outer(i: Inputs) -> DataFrame:
 @register
 def social_results(i: Inputs) -> DataFrame:
     """The whole social side for all seeds."""
+    i.store_vocab()
     rows = daily.social_results(i.seeds(), i.thread_comments(), i.social_tables())
     return rows.select(
         "news_id", "part", "favorite_count", F.size("tweets_comment").alias("n_comments"),
@@ -371,6 +372,7 @@ def article_join(i: Inputs) -> DataFrame:
 def article_results(i: Inputs) -> DataFrame:
     """The whole article side for all pages."""
     asked = i.table("pages").select(F.sha2("url", 256).alias("news_id"), F.col("url").alias("news_url"))
+    i.store_vocab()
     rows = daily.article_results(asked, i.table("pages"), i.article_tables())
     scores = F.transform("sentiment_scores", lambda s: F.format_number(s, 4))
     return rows.select("news_id", "news_title", "news_tokens", _join(scores, ",").alias("scores"))
@@ -542,7 +544,7 @@ def stream_weighted_sentiment(i: Inputs) -> DataFrame:
     """The flagship as two chained streams, over input that is sent twice."""
     session = _streaming_session(i.spark)
     scores, sums = fresh_dir(i.spark, "scores"), fresh_dir(i.spark, "sums")
-    lexicon = sink.stored(Inputs(session, i.folder).lexicon(), "lexicon")
+    lexicon = Inputs(session, i.folder).store_vocab().lexicon()
     jobs.run_to_end(jobs.score_comment_stream(
         _replayed_comments(i, session), ["tweet_id", "turn"], ["like_count"], "event_time", lexicon, scores,
         f"{scores}-check", delay="7 days", available_now=True,
@@ -605,17 +607,13 @@ def stream_articles(i: Inputs) -> DataFrame:
     """Pages asked for twice by a stream; their articles extracted, enriched and stored once."""
     session = _streaming_session(i.spark)
     path = fresh_dir(i.spark, "articles")
-    inputs = Inputs(session, i.folder)
+    inputs = Inputs(session, i.folder).store_vocab()
     asked = stream_table(session, i.folder, "pages").select(
         F.sha2("url", 256).alias("news_id"), F.col("url").alias("news_url"),
         F.lit("2024-01-01").cast("timestamp").alias("timestamp"),
     )
-    tables = {
-        "lexicon": sink.stored(inputs.lexicon(), "lexicon"), "lemmas": sink.stored(inputs.lemmas(), "lemmas"),
-        "stop": sink.stored(inputs.stop(), "stop"),
-    }
     jobs.run_to_end(jobs.article_stream(
-        asked.unionByName(asked), inputs.table("pages"), tables, path, f"{path}-check", delay="7 days", available_now=True
+        asked.unionByName(asked), inputs.table("pages"), inputs.article_tables(), path, f"{path}-check", delay="7 days", available_now=True
     ))
     scores = F.transform("news_sentiment_scores", lambda s: F.format_number(s, 4))
     current = documents.read_documents(i.spark, path)

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pressgauge.functions import text as text_fn
 from pressgauge.operators import articles, credibility, records, sentiment, social
-from pressgauge.sinks import documents
+from pressgauge.sinks import documents, files as sink
 from pressgauge.sinks.topics import stream_writer
 from pressgauge.streaming import state
 
@@ -30,6 +30,8 @@ def upsert_stream(
         # A transformation may read its input several times; the stream is to run only once.
         batch.persist()
         try:
+            if batch_id > 0 and batch.isEmpty():
+                return
             documents.upsert(transform(batch), path, batch_id, modified)
         finally:
             batch.unpersist()
@@ -78,14 +80,14 @@ def article_stream(
     once = state.without_replays(seeds, ["news_id", "news_url"], event_time, delay)
 
     def enrich(batch: DataFrame) -> DataFrame:
-        found = articles.enrich(batch, **tables)
+        found = articles.enrich(sink.stored(articles.fetch(batch, pages), "articles"), **tables)
         if model is not None:
             ready = found.withColumn("tokens", text_fn.whitespace_tokens(found.news_tokens))
             judged = credibility.predict(model, ready, found.columns)
             found = judged.withColumn("prediction", judged.label_text).drop("label_text", "probability")
         return documents.with_date(records.article_document(found))
 
-    return upsert_stream(articles.fetch(once, pages), path, checkpoint, mode="append", transform=enrich, **how)
+    return upsert_stream(once, path, checkpoint, mode="append", transform=enrich, **how)
 
 
 def run_to_end(query: StreamingQuery) -> None:
