@@ -9,13 +9,14 @@ ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&nbsp;", " "), ("&amp;", "&"),
 )
 
+# Every alternative starts after a common "<", so that a position without one fails at once.
 DROPPED_BLOCKS = (
-    r"(?is)<!--.*?-->"
-    r"|<script\b[^>]*>.*?</script>"
-    r"|<style\b[^>]*>.*?</style>"
-    r"|<nav\b[^>]*>.*?</nav>"
+    r"(?is)<(?:!--.*?-->"
+    r"|script\b[^>]*>.*?</script>"
+    r"|style\b[^>]*>.*?</style>"
+    r"|nav\b[^>]*>.*?</nav>)"
 )
-BLOCK_ENDS = r"(?i)</(?:p|div|h[1-6]|li|tr|blockquote)\s*>|<br\s*/?>|<p\b[^>]*>"
+BLOCK_ENDS = r"(?i)<(?:/(?:p|div|h[1-6]|li|tr|blockquote)\s*>|br\s*/?>|p\b[^>]*>)"
 
 
 def unescape(text: Column) -> Column:
@@ -43,7 +44,7 @@ def raw_title(html: Column) -> Column:
 
 def one_line(text: Column) -> Column:
     """Text with every run of white space as one blank, trimmed."""
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    return F.trim(F.regexp_replace(text, r"\s{2,}|[^\S ]", " "))
 
 
 def without_blocks(html: Column) -> Column:
@@ -55,7 +56,7 @@ def main_part(html: Column) -> Column:
     """Content of the article element if there is one, else of the body, else nothing."""
     article = F.regexp_extract(html, r"(?is)<article\b[^>]*>(.*)</article>", 1)
     whole = F.regexp_extract(html, r"(?is)<body\b[^>]*>(.*)</body>", 1)
-    return F.when(F.contains(F.lower(html), F.lit("</article>")) & (article != ""), article).otherwise(whole)
+    return F.when(article != "", article).otherwise(whole)
 
 
 def block_lines(html: Column) -> Column:
@@ -65,13 +66,20 @@ def block_lines(html: Column) -> Column:
 
 def tidy_lines(text: Column) -> Column:
     """Lines without surplus blanks and without empty lines."""
-    flat = F.trim(F.regexp_replace(text, r"[ \t\r\f]+", " "))
-    return F.trim(F.regexp_replace(F.regexp_replace(flat, r" ?\n[ \n]*", "\n"), r"^\n+|\n+$", ""))
+    flat = F.trim(F.regexp_replace(text, r"[ \t\r\f]{2,}|[\t\r\f]", " "))
+    return F.btrim(F.regexp_replace(flat, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
-def lead_image(html: Column) -> Column:
-    """Address of the preview image, else of the first image; empty if there is none."""
-    meta = F.regexp_extract(html, r"(?is)(<meta\b[^>]*property\s*=\s*[\"']og:image[\"'][^>]*>)", 1)
-    preview = F.regexp_extract(meta, r"(?is)content\s*=\s*[\"']([^\"']*)[\"']", 1)
-    first = F.regexp_extract(html, r"(?is)<img\b[^>]*?\bsrc\s*=\s*[\"']([^\"']*)[\"']", 1)
-    return unescape(F.when(preview != "", preview).otherwise(first))
+def preview_tag(html: Column) -> Column:
+    """The tag that names the preview image; empty if absent."""
+    return F.regexp_extract(html, r"(?is)<meta\b[^>]*property\s*=\s*[\"']og:image[\"'][^>]*>", 0)
+
+
+def preview_address(tag: Column) -> Column:
+    """Address in a preview tag."""
+    return F.regexp_extract(tag, r"(?is)content\s*=\s*[\"']([^\"']*)[\"']", 1)
+
+
+def first_image(html: Column) -> Column:
+    """Address of the first image; empty if there is none."""
+    return F.regexp_extract(html, r"(?is)<img\b[^>]*?\bsrc\s*=\s*[\"']([^\"']*)[\"']", 1)

@@ -22,14 +22,17 @@ def extract(pages: DataFrame, page: str = "html") -> DataFrame:
     source = F.coalesce(F.col(page), F.lit(""))
     steps = pages.select(
         *others, html.raw_title(source).alias("_title"), html.without_blocks(source).alias("_page"),
-        html.lead_image(source).alias("_image"),
+        html.preview_address(html.preview_tag(source)).alias("_preview"), html.first_image(source).alias("_image"),
     )
-    steps = steps.withColumn("_page", html.main_part(F.col("_page")))
+    steps = steps.withColumns({
+        "_page": html.main_part(F.col("_page")),
+        "_image": F.when(F.col("_preview") != "", F.col("_preview")).otherwise(F.col("_image")),
+    })
     steps = steps.withColumn("_page", html.block_lines(F.col("_page")))
     found = F.struct(
         html.one_line(html.unescape(F.col("_title"))).alias("news_title"),
         html.tidy_lines(html.unescape(F.col("_page"))).alias("news_text"),
-        F.col("_image").alias("news_image"),
+        html.unescape(F.col("_image")).alias("news_image"),
     )
     return steps.select(*others, F.inline(F.array(found)))
 
