@@ -100,5 +100,5 @@ def accuracy_and_loss(scored: DataFrame, label: str, prediction: Column, probabi
 
 def evaluate(scored: DataFrame, label: str = "label", metric: str = "f1") -> float:
     """A Spark ML metric of scored documents."""
-    frame = scored.withColumn("prediction", F.col("prediction").cast("double"))
+    frame = scored.select(F.col(label).cast("double").alias(label), F.col("prediction").cast("double").alias("prediction"))
     return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction", metricName=metric).evaluate(frame)
