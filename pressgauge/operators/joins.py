@@ -57,11 +57,13 @@ def lookup(
     hot = [] if facts.isStreaming else hot_keys(facts, keys)
     if not hot:
         return facts.join(table, keys, how)
-    is_hot = F.xxhash64(*keys).isin(hot)
     chosen = salt if salt is not None else F.xxhash64(*[F.col(c) for c in _hashable(facts)])
+    is_hot = F.xxhash64(*keys).isin(hot)
     salted = facts.withColumn("_salt", F.when(is_hot, F.pmod(chosen, F.lit(spread))).otherwise(0).cast("int"))
+    # Hashes differ by type, so the table's keys are hashed as the facts' type.
+    copied = F.xxhash64(*[F.col(k).cast(facts.schema[k].dataType) for k in keys]).isin(hot)
     everywhere = F.sequence(F.lit(0), F.lit(spread - 1))
-    copies = table.withColumn("_salt", F.explode(F.when(is_hot, everywhere).otherwise(F.array(F.lit(0)))))
+    copies = table.withColumn("_salt", F.explode(F.when(copied, everywhere).otherwise(F.array(F.lit(0)))))
     return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, RegexTokenizer, StopWordsRemover
+from pyspark.ml.feature import CountVectorizerModel, SQLTransformer, StopWordsRemover
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pressgauge.functions import text as text_fn
@@ -118,27 +118,36 @@ def term_counts(rows: DataFrame, ids: Sequence[str]) -> DataFrame:
     return rows.groupBy(*ids, "token").agg(F.count(F.lit(1)).alias("n"))
 
 
-def token_pipeline(text: str, tokens: str, stop_words: Sequence[str] | None = None) -> Pipeline:
-    """Spark ML tokenizer and stop-word remover; stateless, so the model also runs on a stream."""
+def token_stages(text: str, tokens: str, stop_words: Sequence[str] | None = None) -> Pipeline:
+    """Spark ML tokenizer and stop-word remover; nothing is learned, so the model also runs on a stream.
+
+    The tokenizer is a SQL stage, which stays in generated code, unlike a regex transformer.
+    """
     words = f"{tokens}_raw"
     stop = list(stop_words) if stop_words is not None else StopWordsRemover.loadDefaultStopWords("english")
+    split = f"select *, regexp_extract_all(lower(`{text}`), '[a-z]+', 0) as `{words}` from __THIS__"
     return Pipeline(stages=[
-        RegexTokenizer(inputCol=text, outputCol=words, pattern="[^A-Za-z]+"),
+        SQLTransformer(statement=split),
         StopWordsRemover(inputCol=words, outputCol=tokens, stopWords=stop, caseSensitive=True),
     ])
 
 
-def apply_token_pipeline(df: DataFrame, text: str, tokens: str, stop_words: Sequence[str] | None = None) -> DataFrame:
-    """Fit (nothing is learned) and apply :func:`token_pipeline`."""
+def apply_token_stages(df: DataFrame, text: str, tokens: str, stop_words: Sequence[str] | None = None) -> DataFrame:
+    """Fit and apply :func:`token_stages`."""
     # An empty frame of the same schema is enough to fit, also when ``df`` is a stream.
     sample = df.sparkSession.createDataFrame([], df.schema)
-    model: PipelineModel = token_pipeline(text, tokens, stop_words).fit(sample)
+    model: PipelineModel = token_stages(text, tokens, stop_words).fit(sample)
     return model.transform(df).drop(f"{tokens}_raw")
 
 
 def fit_count_vectors(df: DataFrame, tokens: str, out: str = "counts", size: int = 16_000) -> CountVectorizerModel:
-    """Fit term-count vectors over an array column; the model can be reused on a stream."""
-    return CountVectorizer(inputCol=tokens, outputCol=out, vocabSize=size).fit(df)
+    """Term-count vectors over the ``size`` most frequent words of an array column.
+
+    Ties go by word, so the model is the same in every run; it can be reused on a stream.
+    """
+    ranked = vocabulary(df.select(F.explode(tokens).alias("token")), size).orderBy("idx")
+    words = [row.token for row in ranked.select("token").collect()]
+    return CountVectorizerModel.from_vocabulary(words, inputCol=tokens, outputCol=out)
 
 
 def count_vector_rows(model: CountVectorizerModel, counted: DataFrame, ids: Sequence[str]) -> DataFrame:

@@ -345,10 +345,13 @@ BODIES = {
     "adjective_filter": """
         select tweet_id, turn, string_agg(token, ' ' order by t.pos) as tokens
         from v_ctok t join v_pos p using (token) where p.pos in ('a', 's') group by all""",
-    "token_pipeline": """
+    "ml_tokens": """
         select doc_id, token, count(*) as n from v_dtok
         where token not in (select token from v_stop) group by all""",
-    "term_counts": "select doc_id, token, count(*) as n from v_dtok group by all",
+    "term_counts": f"""
+        select doc_id, token, count(*) as n from v_dtok
+        where token in (select token from v_dtok group by token order by count(*) desc, token limit {VOCABULARY})
+        group by all""",
     "vocabulary_topk": "select token, n, cast(idx as integer) as idx from v_vocab",
     "vocabulary_index": "select token, idx from v_vocab",
     "article_extract": "select page_id, news_title, news_text, news_image from v_articles",
@@ -357,11 +360,12 @@ BODIES = {
     "article_results": "select * from v_article_results",
     "stream_articles": "select * from v_article_results",
     "document_merge": f"""
-        with social as (select sha256(news_url || '#' || cast(tweet_id as varchar)) as news_id, favorite_count, weighted_sentiment_score
-                        from v_tweets join v_weighted using (tweet_id)),
-        art as (select sha256(url || '#' || cast(page_id * 4 as varchar)) as news_id, {_TITLE} as news_title from pages)
+        with social as (select news_id, favorite_count, weighted_sentiment_score
+                        from v_seeds join (select distinct tweet_id, tweet_url from v_comments) using (tweet_url)
+                        join v_weighted using (tweet_id)),
+        art as (select sha256(url) as news_id, {_TITLE} as news_title from pages)
         select coalesce(s.news_id, a.news_id) as news_id, cast(0 as bigint) as part, favorite_count, weighted_sentiment_score, news_title,
-               case when a.news_id is null then date '2024-01-02' else date '2024-01-03' end as date
+               case when s.news_id is null then date '2024-01-01' else date '2024-01-02' end as date
         from social s full outer join art a on s.news_id = a.news_id""",
     "doc_index_matrix": "select * from v_index",
     "doc_lengths": """

@@ -323,18 +323,18 @@ def adjective_filter(i: Inputs) -> DataFrame:
 
 
 @register
-def token_pipeline(i: Inputs) -> DataFrame:
+def ml_tokens(i: Inputs) -> DataFrame:
     """Spark ML tokenizer and stop-word remover, as counts per document and token."""
     stop = [row.token for row in i.stop().collect()]
-    ready = tokens.apply_token_pipeline(i.table("documents").select("doc_id", "text"), "text", "tokens", stop)
+    ready = tokens.apply_token_stages(i.table("documents").select("doc_id", "text"), "text", "tokens", stop)
     return tokens.term_counts(ready.select("doc_id", F.explode("tokens").alias("token")), ["doc_id"])
 
 
 @register
 def term_counts(i: Inputs) -> DataFrame:
-    """Count vectors of every document, as one row per document and word."""
+    """Count vectors over the most frequent words, as one row per document and word."""
     docs = i.table("documents").select("doc_id", text_fn.letter_tokens(F.col("text")).alias("tokens"))
-    model = tokens.fit_count_vectors(docs, "tokens", size=1 << 18)
+    model = tokens.fit_count_vectors(docs, "tokens", size=VOCABULARY)
     return tokens.count_vector_rows(model, model.transform(docs), ["doc_id"])
 
 
@@ -380,20 +380,19 @@ def article_results(i: Inputs) -> DataFrame:
 
 @register
 def document_merge(i: Inputs) -> DataFrame:
-    """Social and article sides merged per article; every third page has no article here."""
-    scored = sentiment.score_texts(i.comments(), ["tweet_id", "turn", "like_count"], "comment", i.lexicon(), small=True)
-    means = engagement.weighted_sentiment(scored, ["tweet_id"])
-    posts = i.tweets().select("tweet_id", "news_url", "favorite_count")
-    side = posts.join(means, "tweet_id").select(
-        F.sha2(F.concat_ws("#", "news_url", "tweet_id"), 256).alias("news_id"), "favorite_count",
-        F.round("weighted_sentiment_score", 6).alias("weighted_sentiment_score"),
+    """Social documents of all seeds and article documents of all pages, merged per article."""
+    seeds = i.seeds()
+    comments = engagement.attach_comments(seeds, i.thread_comments())
+    ids = ["news_id", "position", "like_count"]
+    scored = sentiment.score_texts(comments, ids, "comment", i.lexicon(), small=True)
+    means = engagement.weighted_sentiment(scored, ["news_id"])
+    left = seeds.select("news_id", "favorite_count").join(means, "news_id").select(
+        "news_id", "favorite_count", F.round("weighted_sentiment_score", 6).alias("weighted_sentiment_score"),
         F.lit("2024-01-02").cast("date").alias("date"),
     )
-    found = articles.extract(i.table("pages").select(
-        F.sha2(F.concat_ws("#", "url", (F.col("page_id") * 4).cast("string")), 256).alias("news_id"), "html"
-    ))
-    right = found.select("news_id", "news_title", F.lit("2024-01-03").cast("date").alias("date"))
-    return documents.merge(side, right)
+    found = articles.extract(i.table("pages").select(F.sha2("url", 256).alias("news_id"), "html"))
+    right = found.select("news_id", "news_title", F.lit("2024-01-01").cast("date").alias("date"))
+    return documents.merge(left, right)
 
 
 # --- Features and learning ----------------------------------------------------------------------

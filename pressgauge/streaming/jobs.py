@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from pressgauge.functions import text as text_fn
 from pressgauge.operators import articles, credibility, records, sentiment, social
-from pressgauge.sinks import documents, files as sink
+from pressgauge.sinks import documents
 from pressgauge.sinks.topics import stream_writer
 from pressgauge.streaming import state
 
@@ -19,22 +19,25 @@ DAY = "1 day"
 
 def upsert_stream(
     rows: DataFrame, path: str, checkpoint: str, *, mode: str = "update",
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
     transform: Callable[[DataFrame], DataFrame] | None = None, modified: Column | None = None, **how,
 ) -> StreamingQuery:
-    """Upsert every micro-batch into a document table, after an optional batch transformation."""
+    """Upsert every micro-batch into a document table, after an optional batch transformation.
+
+    ``transform`` may read its input several times: the batch, or what ``prepare`` makes of it, is
+    computed once and kept until the batch is written.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if transform is None:
             documents.upsert(batch, path, batch_id, modified)
             return
-        # A transformation may read its input several times; the stream is to run only once.
-        batch.persist()
+        frame = (prepare(batch) if prepare else batch).persist()
         try:
-            if batch_id > 0 and batch.isEmpty():
-                return
-            documents.upsert(transform(batch), path, batch_id, modified)
+            if batch_id == 0 or not frame.isEmpty():
+                documents.upsert(transform(frame), path, batch_id, modified)
         finally:
-            batch.unpersist()
+            frame.unpersist()
 
     return stream_writer(rows, checkpoint, mode, **how).foreachBatch(write).start()
 
@@ -79,15 +82,17 @@ def article_stream(
     """Articles of each newly seen seed: extracted, scored, judged by the model if given, stored."""
     once = state.without_replays(seeds, ["news_id", "news_url"], event_time, delay)
 
-    def enrich(batch: DataFrame) -> DataFrame:
-        found = articles.enrich(sink.stored(articles.fetch(batch, pages), "articles"), **tables)
+    def enrich(extracted: DataFrame) -> DataFrame:
+        found = articles.enrich(extracted, **tables)
         if model is not None:
             ready = found.withColumn("tokens", text_fn.whitespace_tokens(found.news_tokens))
             judged = credibility.predict(model, ready, found.columns)
             found = judged.withColumn("prediction", judged.label_text).drop("label_text", "probability")
         return documents.with_date(records.article_document(found))
 
-    return upsert_stream(once, path, checkpoint, mode="append", transform=enrich, **how)
+    return upsert_stream(
+        once, path, checkpoint, mode="append", prepare=lambda batch: articles.fetch(batch, pages), transform=enrich, **how
+    )
 
 
 def run_to_end(query: StreamingQuery) -> None:

@@ -44,7 +44,7 @@ def test_stop_words(spark, rows):
     assert stop.where("token = 'the'").count() == 1
     found = tokens.without_stop_words(tokens.token_rows(docs, ["id"]), stop)
     assert rows(tokens.collect_tokens(found, ["id"])) == [(1, ["cat"])]
-    assert tokens.apply_token_pipeline(docs, "text", "t").first().t == ["cat", "mat"]
+    assert tokens.apply_token_stages(docs, "text", "t").first().t == ["cat", "mat"]
 
 
 def test_vocabulary_ranks_ties_by_word(spark, rows):
