@@ -10,6 +10,7 @@ from pressgauge.functions import html
 from pressgauge.functions.text import is_present
 from pressgauge.operators import sentiment, tokens
 from pressgauge.operators.joins import lookup
+from pressgauge.operators.tweets import first_per_key
 
 
 def extract(pages: DataFrame, page: str = "html") -> DataFrame:
@@ -43,15 +44,19 @@ def readable(articles: DataFrame) -> DataFrame:
 
 
 def fetch(
-    seeds: DataFrame, pages: DataFrame, columns: Sequence[str] = ("news_id", "news_url"), *, small: bool | None = None
+    seeds: DataFrame, pages: DataFrame, columns: Sequence[str] = ("news_id", "news_url"), *, small: bool | None = None,
+    version: str | None = None,
 ) -> DataFrame:
     """Seeds with their stored page, extracted; a seed without page gets empty strings.
 
     Pages nobody asks for are dropped first, without a shuffle if the seeds are few; the others are
-    extracted before the join, so the HTML does not travel with the seeds.
+    extracted before the join, so the HTML does not travel with the seeds. Where an address is
+    stored more than once, name the ``version`` column: the newest page of each address is taken.
     """
-    stored = pages.select(F.col("url").alias("news_url"), "html")
+    stored = pages.select(F.col("url").alias("news_url"), "html", *([version] if version else []))
     wanted = lookup(stored, seeds.select("news_url").distinct(), "news_url", "left_semi", small=small)
+    if version:
+        wanted = first_per_key(wanted, ["news_url"], F.desc(version)).drop(version)
     joined = seeds.select(*columns).join(extract(wanted), "news_url", "left")
     return joined.na.fill("", ["news_title", "news_text", "news_image"])
 

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 from pressgauge.functions import text as text_fn
-from pressgauge.operators.joins import lookup
+from pressgauge.operators.joins import is_small, lookup
 from pressgauge.operators.tweets import longest_phrase, phrase_rows
 
 # Entity types that may serve as keywords.
@@ -44,7 +44,10 @@ def mine_keywords(
     normal = F.array_join(text_fn.letter_tokens(F.col("phrase")), " ")
     table = wanted.select(normal.alias("phrase"), F.col("phrase").alias("keyword")).where(F.col("phrase") != "").distinct()
     runs = phrase_rows(titles, [], text_fn.letter_tokens(F.col(title)), max_words)
-    return lookup(runs.distinct(), table, "phrase", small=small).select("keyword").distinct()
+    if small is None:
+        small = is_small(table)
+    # A large gazetteer is joined by shuffle: repeated runs are then combined first.
+    return lookup(runs if small else runs.distinct(), table, "phrase", small=small).select("keyword").distinct()
 
 
 def capitalised_runs(titles: DataFrame, *, title: str = "title", min_titles: int = 2) -> DataFrame:

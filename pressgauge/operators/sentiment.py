@@ -57,7 +57,9 @@ def score_sentences(
     small: bool | None = None,
 ) -> DataFrame:
     """One compound score per sentence as rows (ids, ``sent_pos``, ``score``)."""
-    rows = df.select(*ids, F.posexplode(text_fn.sentences(F.col(text))).alias("sent_pos", "sentence"))
+    # The outer form, as Spark would split once more to filter empty lists beforehand.
+    present = df.where(F.col(text).isNotNull())
+    rows = present.select(*ids, F.posexplode_outer(text_fn.sentences(F.col(text))).alias("sent_pos", "sentence"))
     return score_texts(rows, [*ids, "sent_pos"], "sentence", lexicon, small=small)
 
 

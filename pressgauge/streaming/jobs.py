@@ -32,12 +32,14 @@ def upsert_stream(
         if transform is None:
             documents.upsert(batch, path, batch_id, modified)
             return
-        frame = (prepare(batch) if prepare else batch).persist()
+        batch.persist()
+        frame = prepare(batch).persist() if prepare else batch
         try:
-            if batch_id == 0 or not frame.isEmpty():
+            if batch_id == 0 or not batch.isEmpty():
                 documents.upsert(transform(frame), path, batch_id, modified)
         finally:
             frame.unpersist()
+            batch.unpersist()
 
     return stream_writer(rows, checkpoint, mode, **how).foreachBatch(write).start()
 

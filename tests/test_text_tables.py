@@ -66,7 +66,8 @@ def test_count_vectors(spark, rows):
 def test_mined_keywords(spark, rows):
     titles = table(spark, "title string", ("Storm hits New York",), ("IBM and the storm",))
     gazetteer = table(spark, "phrase string, ent_type string", ("New York", "GPE"), ("IBM", "ORG"), ("storm", "DATE"))
-    assert rows(keywords.mine_keywords(titles, gazetteer), "keyword") == [("IBM",), ("New York",)]
+    for small in (None, False):
+        assert rows(keywords.mine_keywords(titles, gazetteer, small=small), "keyword") == [("IBM",), ("New York",)]
 
 
 def test_capitalised_runs(spark, rows):
@@ -115,6 +116,12 @@ def test_fetch_gives_empty_strings_for_missing_pages(spark, rows, small):
     assert [r.news_id for r in articles.readable(found).orderBy("news_id").collect()] == ["1", "3"]
 
 
+def test_fetch_takes_the_newest_page(spark):
+    pages = table(spark, "url string, html string, page_id int", ("a", "<title>old</title>", 1), ("a", "<title>new</title>", 2))
+    seeds = table(spark, "news_id string, news_url string", ("1", "a"))
+    assert [r.news_title for r in articles.fetch(seeds, pages, version="page_id").collect()] == ["new"]
+
+
 def dictionaries(spark):
     return {
         "lexicon": table(spark, "token string, valence double", ("good", 2.0), ("bad", -2.0)),
