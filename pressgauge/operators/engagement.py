@@ -20,14 +20,16 @@ def thread_comments(threads: DataFrame) -> DataFrame:
         .withColumn("like_count", counts.like_weight(F.col("like_str")))
 
 
-def attach_comments(seeds: DataFrame, comments: DataFrame, *, keep_unmatched: bool = False) -> DataFrame:
+def attach_comments(
+    seeds: DataFrame, comments: DataFrame, *, keep_unmatched: bool = False, small: bool | None = None
+) -> DataFrame:
     """Seeds with each non-empty comment on their tweet; seeds without comments vanish unless kept.
 
     The seeds are the lookup side: a tweet holding a large share of the comments is joined without
     a hot task. Several seeds may share a tweet; the comments then go to each of them.
     """
     useful = comments.where(is_present(F.col("comment")))
-    matched = lookup(useful, seeds, "tweet_url", "inner", salt=F.xxhash64("position"))
+    matched = lookup(useful, seeds, "tweet_url", "inner", small=small, salt=F.xxhash64("position"))
     columns = [*seeds.columns, *[c for c in comments.columns if c not in seeds.columns]]
     matched = matched.select(*columns)
     if not keep_unmatched:

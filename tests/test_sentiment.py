@@ -98,7 +98,8 @@ def test_size_check(spark):
 def test_attach_comments(spark, rows):
     seeds = spark.createDataFrame([("n1", "t1"), ("n2", "t1"), ("n3", "t3")], "news_id string, tweet_url string")
     comments = spark.createDataFrame([("t1", 0, "a"), ("t1", 1, ""), ("t1", 2, None), ("t9", 0, "z")], "tweet_url string, position long, comment string")
-    assert rows(engagement.attach_comments(seeds, comments), "news_id") == [("n1", "t1", 0, "a"), ("n2", "t1", 0, "a")]
+    for small in (True, False):
+        assert rows(engagement.attach_comments(seeds, comments, small=small), "news_id") == [("n1", "t1", 0, "a"), ("n2", "t1", 0, "a")]
     kept = engagement.attach_comments(seeds, comments, keep_unmatched=True)
     assert rows(kept, "news_id") == [("n1", "t1", 0, "a"), ("n2", "t1", 0, "a"), ("n3", "t3", None, None)]
 
