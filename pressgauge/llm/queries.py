@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressgauge.llm import exact_dedup, simhash, substring
+from pressgauge.llm import exact_dedup, packing, simhash, substring, toxicity
 from pressgauge.llm.common import table
 
 
@@ -28,10 +28,28 @@ def op5_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents packed into sequences of 4096 tokens."""
+    import public_tokenizers
+
+    return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents by a model that has not seen the labels of the held-out third."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels"), toxicity.fold() != 1)
+    out = F.coalesce(toxicity.fold() == 1, F.lit(False)).alias("held_out")
+    chosen = (F.col("toxicity") >= 0.7).cast("int").alias("predicted")
+    return toxicity.scores(docs, model).select("doc_id", out, F.col("toxicity").alias("score"), chosen)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
     "op5_substring_dedup": op5_substring_dedup,
+    "op6_packing": op6_packing,
+    "op8_toxicity": op8_toxicity,
 }
 
 _COPIES = r"""

@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, Window, functions as F
 
-from pressgauge.llm.common import Words, byte_slices, longs, pair_key, text_or_empty
+from pressgauge.llm.common import Words, byte_slices, longs, pair_key
 
 MIN_WORDS = 13
 SEED_WORDS = 4
@@ -83,10 +83,11 @@ def _window_rows(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in byte_slices(batches, "text"):
             ids, _ = longs(part, "doc_id")
-            words = Words(texts)
+            listed = _listed(part, "seeds")
+            words = Words(texts if len(listed) else [])
             windows = words.valid(min_words)
             h, _ = anchors(words, windows, min_words)
-            windows = windows[np.isin(pair_key(h, words.doc[windows]), _listed(part, "seeds"))]
+            windows = windows[np.isin(pair_key(h, words.doc[windows]), listed)]
             h, doc = _distinct(words.span(windows, min_words), ids[words.doc[windows]])
             first, _ = _firsts(h)
             known = ~first
@@ -136,26 +137,43 @@ def _cut(min_words: int):
                 spans.append([{"start": int(a), "words": int(b - a)} for a, b in edges])
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(part.schema.get_field_index("row")), pa.array(words.counts), pa.array(removed.astype(np.int64)),
+                    part.column(part.schema.get_field_index("row")), part.column(part.schema.get_field_index("text")),
+                    pa.array(words.counts), pa.array(removed.astype(np.int64)),
                     pa.array(kept, pa.binary()).cast(pa.string()),
                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("words", pa.int64())]))),
                 ],
-                ["row", "n_words", "n_removed", "kept_text", "spans"],
+                ["row", "text", "n_words", "n_removed", "kept_text", "spans"],
             )
 
     return run
 
 
-def _repeated(docs: DataFrame, min_words: int) -> DataFrame:
-    """(doc_id, repeats): hashes of a document's windows that also start in a smaller id."""
-    texts = docs.where(F.col("doc_id").isNotNull())
-    group = Window.partitionBy("known", F.when(F.col("known"), F.xxhash64("h", "doc_id")).otherwise(F.col("h")))
-    found = texts.mapInArrow(_seed_rows(min_words), _HITS)
-    found = found.withColumn("low", F.min("doc_id").over(group)).withColumn("high", F.max("doc_id").over(group))
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, doc_id, text): the other columns as one struct, and the id where there are no others."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in (id_col, text_col)]
+    key = F.col(f"`{id_col}`").cast("long")
+    row = F.struct(key.alias("id"), *[c.alias(f"c{i}") for i, c in enumerate(others)])
+    return docs.select(row.alias("row"), key.alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+
+
+def _marked(docs: DataFrame, id_col: str, text_col: str, min_words: int) -> DataFrame:
+    """row, text, n_words, n_removed, kept_text, spans of every document.
+
+    The whole texts are shuffled by id once: both joins below read the same exchange.
+    """
+    keyed = _keyed(docs, id_col, text_col)
+    group = Window.partitionBy("run", "known")
+    run = F.when(F.col("known"), F.xxhash64("h", "doc_id")).otherwise(F.col("h"))
+    found = keyed.select("doc_id", "text").where("doc_id is not null").mapInArrow(_seed_rows(min_words), _HITS)
+    found = found.withColumn("run", run).select("*", F.min("doc_id").over(group).alias("low"), F.max("doc_id").over(group).alias("high"))
     seeds = found.where("known or low < high").groupBy("doc_id").agg(F.collect_list("h").alias("seeds"))
-    met = texts.join(seeds, "doc_id").mapInArrow(_window_rows(min_words), _HITS)
-    met = met.withColumn("low", F.min("doc_id").over(group)).where("known or low < doc_id")
-    return met.groupBy("doc_id").agg(F.collect_list("h").alias("repeats"))
+    met = keyed.join(seeds, "doc_id", "left").mapInArrow(_window_rows(min_words), _HITS)
+    met = met.withColumn("run", run).withColumn("low", F.min("doc_id").over(group)).where("known or low < doc_id")
+    lists = met.groupBy("doc_id").agg(F.collect_list("h").alias("repeats"))
+    kind = keyed.schema["row"].dataType.simpleString()
+    spans = "array<struct<start: long, words: long>>"
+    schema = f"row {kind}, text string, n_words long, n_removed long, kept_text string, spans {spans}"
+    return keyed.join(lists, "doc_id", "left").mapInArrow(_cut(min_words), schema)
 
 
 def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -164,11 +182,8 @@ def repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     Removed is each word in a run of ``min_words`` words that also starts in a smaller id. The words
     that stay are joined by one space.
     """
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    joined = picked.join(_repeated(picked, min_words), "doc_id", "left")
-    whole = joined.select(F.struct("doc_id").alias("row"), "text", "repeats")
-    schema = "row struct<doc_id: long>, n_words long, n_removed long, kept_text string, spans array<struct<start: long, words: long>>"
-    return whole.mapInArrow(_cut(min_words), schema).select("row.doc_id", "n_words", "n_removed", "kept_text", "spans")
+    done = _marked(docs.select(id_col, text_col), id_col, text_col, min_words)
+    return done.select(F.col("row.id").alias("doc_id"), "n_words", "n_removed", "kept_text", "spans")
 
 
 def cleaned_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -176,12 +191,9 @@ def cleaned_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     Texts without repeats stay as they are, white space and null included.
     """
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    lists = _repeated(picked, min_words)
-    keyed = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    joined = keyed.join(lists, "doc_id", "left").select("row", "text", "repeats")
-    kind = docs.select(F.struct("*").alias("row")).schema["row"].dataType.simpleString()
-    schema = f"row {kind}, n_words long, n_removed long, kept_text string, spans array<struct<start: long, words: long>>"
-    done = joined.mapInArrow(_cut(min_words), schema)
-    changed = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col(f"row.`{text_col}`"))
-    return done.select(*[changed.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    done = _marked(docs, id_col, text_col, min_words)
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    columns = {c: F.col(f"row.c{i}") for i, c in enumerate(others)}
+    columns[id_col] = F.col("row.id").cast(docs.schema[id_col].dataType)
+    columns[text_col] = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    return done.select(*[columns[c].alias(c) for c in docs.columns])
