@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressgauge.llm import exact_dedup, packing, simhash, substring, toxicity
+from pressgauge.llm import bpe, exact_dedup, packing, simhash, substring, toxicity
 from pressgauge.llm.common import table
 
 
@@ -44,12 +44,25 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scores(docs, model).select("doc_id", out, F.col("toxicity").alias("score"), chosen)
 
 
+def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of all documents and the bytes they decode to."""
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode(table(spark, folder, "documents"), ranks, public_tokenizers.PATTERN)
+    return bpe.decode(coded, ranks).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_packing": op6_packing,
     "op8_toxicity": op8_toxicity,
+    "op9_bpe": op9_bpe,
 }
 
 _COPIES = r"""
