@@ -6,10 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressgauge.llm import bpe, exact_dedup, packing, simhash, substring, toxicity
+from pressgauge.llm import bpe, exact_dedup, html_text, packing, simhash, substring, toxicity, warc
 from pressgauge.llm.common import table
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    """The main text of all pages."""
+    found = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Exact copies of every document, through a digest index that starts empty."""
     found = exact_dedup.deduplicate(table(spark, folder, "documents"))
@@ -56,13 +62,21 @@ def op9_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as WARC records and read back."""
+    found = warc.archive(table(spark, folder, "pages"), least_bytes=0)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_html_text": op2_html_text,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_packing": op6_packing,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
+    "op10_warc": op10_warc,
 }
 
 _COPIES = r"""
@@ -99,4 +113,20 @@ select w.doc_id, cast(len(words) as bigint) as n_words, coalesce(removed.n, 0) a
 from w left join removed using (doc_id) left join kept using (doc_id)
 """
 
-ORACLES: dict[str, str] = {"op3_exact_dedup": _COPIES, "op5_substring_dedup": _PASSAGES}
+_RECORDS = """
+with p as (
+    select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as hex from pages
+), five as (
+    select *, list_transform(range(0, 8), lambda i: cast('0x' || substr(hex, cast(i as int) * 5 + 1, 5) as integer)) as parts from p
+), named as (
+    select page_id, octet_length(encode(html)) as payload_bytes, min(page_id) over (partition by hex) as first,
+        array_to_string(list_transform(parts, lambda v: substr(abc, ((v >> 15) & 31) + 1, 1) || substr(abc, ((v >> 10) & 31) + 1, 1)
+            || substr(abc, ((v >> 5) & 31) + 1, 1) || substr(abc, (v & 31) + 1, 1)), '') as payload_digest
+    from five, (select 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567' as abc)
+)
+select page_id, payload_bytes, payload_digest, case when page_id = first then 'response' else 'revisit' end as record_type,
+    case when page_id <> first then first end as refers_to
+from named
+"""
+
+ORACLES: dict[str, str] = {"op3_exact_dedup": _COPIES, "op5_substring_dedup": _PASSAGES, "op10_warc": _RECORDS}
