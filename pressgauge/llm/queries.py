@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressgauge.llm import bpe, exact_dedup, html_text, packing, simhash, substring, toxicity, warc
+from pressgauge.llm import bpe, exact_dedup, html_text, packing, simhash, spotsigs, substring, toxicity, warc
 from pressgauge.llm.common import table
 
 
@@ -41,6 +41,11 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=2)
 
 
+def op7_spotsigs(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprints of all documents and their likeness to an edited text and to the next document."""
+    return spotsigs.edited_likeness(table(spark, folder, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     """Scores of all documents by a model that has not seen the labels of the held-out third."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -74,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_packing": op6_packing,
+    "op7_spotsigs": op7_spotsigs,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
