@@ -6,10 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressgauge.llm import bpe, exact_dedup, html_text, packing, simhash, spotsigs, substring, toxicity, warc
+from pressgauge.llm import bpe, exact_dedup, html_text, maxent, packing, simhash, spotsigs, substring, toxicity, warc
 from pressgauge.llm.common import table
 
 
+def op1_maxent(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents by a model that learns from nine tenths of them."""
+    return maxent.score(table(spark, folder, "documents"), maxent.fold() == 0)
+
+
 def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
     """The main text of all pages."""
     found = html_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
@@ -74,6 +79,7 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_maxent": op1_maxent,
     "op2_html_text": op2_html_text,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
