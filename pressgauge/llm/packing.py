@@ -16,7 +16,9 @@ id and text columns are read.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,17 @@ END_ID = 2
 CACHE_WORDS = 600_000
 
 
+class _Known(dict):
+    """Ids by word; a word asked for the first time is learnt."""
+
+    def __init__(self, learn) -> None:
+        self.learn = learn
+
+    def __missing__(self, word: bytes) -> bytes:
+        found = self[word] = self.learn(word)
+        return found
+
+
 class WordEncoder:
     """Ids of texts by a tokenizer that drops white space, with a bounded cache of words.
 
@@ -43,39 +56,53 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
+        self.known = _Known(self._learn)
+
+        self.model = self.tokenizer.model
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the vocabulary
+        hidden = [b for b in range(256) if b not in shown]
+        self.letters = {b: chr(256 + i) for i, b in enumerate(hidden)}
 
     def _ids(self, word: bytes) -> bytes:
         found = self.known.get(word)
         if found is None:
-            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            self.known[word] = found = np.array(ids, "<u4").tobytes()
+            text = word.decode("utf-8", "replace")
+            low = text.lower()
+            if text.isalpha() and low.isalpha() and max(text) < "\u0180":  # composed letters: nothing to normalise or split
+                units = low.encode().decode("latin-1").translate(self.letters)
+                ids = [t.id for t in self.model.tokenize(units)]
+            else:
+                ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            self.known[word] = found = array("I", ids).tobytes()
         return found
 
-    def _learn(self, word: bytes) -> None:
+    def _learn(self, word: bytes) -> bytes:
         stem = word.rstrip(b".,")
         if len(stem) == len(word) or not stem[-1:].isalnum():
             stem = word
         marks = word[len(stem):]
         if stem.isascii() and b"<" not in stem:  # a special token is known by its case
             stem = stem.lower()
-        self.known[word] = self._ids(stem) + (self._ids(marks) if marks else b"")
+        return self._ids(stem) + (self._ids(marks) if marks else b"")
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        words = [t.split() for t in texts]
         if len(self.known) > CACHE_WORDS:
             self.known.clear()
-        for word in set().union(*words) - self.known.keys():
-            self._learn(word)
-        return [b"".join(map(self.known.__getitem__, w)) for w in words]
+        return [b"".join(map(self.known.__getitem__, t.split())) for t in texts]
+
+
+@lru_cache(maxsize=1)
+def word_encoder(path: str) -> WordEncoder:
+    """The worker's encoder; its cache serves all tasks of the worker."""
+    return WordEncoder(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens: every document cut at multiples of ``capacity``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(tokenizer)
+        encoder = word_encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
         for part, texts in byte_slices(batches, "text"):
             out: list[tuple] = []
