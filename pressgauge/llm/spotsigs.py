@@ -38,16 +38,27 @@ def words(text: str | Column) -> Column:
 
 
 def signatures(text: str | Column) -> Column:
-    """The fingerprint as a sorted array of 32-bit hashes, held in longs."""
+    """The fingerprint as a sorted array of 32-bit hashes, held in longs.
+
+    The stop words before each content word are cut out as its run; every anchor in the run heads the
+    chain that begins with that word. No pattern repeats a group, so its stack does not grow with the text.
+    """
     stop = "(?:" + "|".join(dict.fromkeys(STOPS)) + ")"
-    link = f"(?:{stop} )*+[^ ]+ "
-    spot = f"(?<= )(?=((?:{'|'.join(dict.fromkeys(ANCHORS))}) (?:{link}){{{CHAIN}}}))"
     line = words(text)
-    found = F.regexp_extract_all(line, F.lit(spot), F.lit(1))
+    runs = F.split(F.regexp_replace(line, f"(?<= )(?!{stop} )[^ ]+ ", "\u0001"), "\u0001")
+    content = F.filter(F.split(F.regexp_replace(line, f"(?<= ){stop} ", ""), " "), lambda w: w != "")
+    later = [content if i == 0 else F.slice(content, F.lit(i + 1), F.greatest(F.size(content) - i, F.lit(0))) for i in range(CHAIN)]
+    linked = F.arrays_zip(runs.alias("run"), *(c.alias(f"c{i}") for i, c in enumerate(later)))
+    linked = F.filter(linked, lambda z: (F.trim(z["run"]) != "") & z[f"c{CHAIN - 1}"].isNotNull())
     low = F.lit(0xFFFFFFFF)
-    hashed = F.transform(found, lambda s: F.xxhash64(F.regexp_replace(s, f" (?:{stop} )+", " ")).bitwiseAND(low))
+
+    def heads(z: Column) -> Column:
+        anchors = F.filter(F.split(F.trim(z["run"]), " "), lambda w: w.isin(*dict.fromkeys(ANCHORS)))
+        return F.transform(F.array_distinct(anchors), lambda w: F.xxhash64(w, *(z[f"c{i}"] for i in range(CHAIN))).bitwiseAND(low))
+
+    found = F.array_sort(F.array_distinct(F.flatten(F.transform(linked, heads))))
     whole = F.when(F.trim(line) == "", F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(line).bitwiseAND(low)))
-    return F.when(F.size(found) > 0, F.array_sort(F.array_distinct(hashed))).otherwise(whole)
+    return F.when(F.size(found) > 0, found).otherwise(whole)
 
 
 def shown(signs: str | Column) -> Column:

@@ -82,6 +82,12 @@ def test_no_python_on_the_main_path(spark, make_words):
     assert not re.search("Python|Pandas|Arrow", plan.split("== Physical Plan ==")[1])
 
 
+def test_long_runs_of_stop_words(spark):
+    text = "the of is " * 50_000 + "hant ering the lone"
+    row = spotsigs.fingerprints(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    assert len(row.signs) == len(brute_chains("the of is hant ering the lone")) == 3
+
+
 def test_odd_rows(spark, odd_documents, no_documents):
     got = spotsigs.edited_likeness(odd_documents).collect()
     assert len(got) == odd_documents.count()
