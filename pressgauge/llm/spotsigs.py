@@ -44,21 +44,32 @@ def signatures(text: str | Column) -> Column:
     chain that begins with that word. No pattern repeats a group, so its stack does not grow with the text.
     """
     stop = "(?:" + "|".join(dict.fromkeys(STOPS)) + ")"
-    line = words(text)
-    runs = F.split(F.regexp_replace(line, f"(?<= )(?!{stop} )[^ ]+ ", "\u0001"), "\u0001")
-    content = F.filter(F.split(F.regexp_replace(line, f"(?<= ){stop} ", ""), " "), lambda w: w != "")
-    later = [content if i == 0 else F.slice(content, F.lit(i + 1), F.greatest(F.size(content) - i, F.lit(0))) for i in range(CHAIN)]
-    linked = F.arrays_zip(runs.alias("run"), *(c.alias(f"c{i}") for i, c in enumerate(later)))
-    linked = F.filter(linked, lambda z: (F.trim(z["run"]) != "") & z[f"c{CHAIN - 1}"].isNotNull())
     low = F.lit(0xFFFFFFFF)
 
+    def linked(line: Column, content: Column) -> Column:
+        runs = F.split(F.regexp_replace(line, f"(?<= )(?!{stop} )[^ ]+ ", "\u0001"), "\u0001")
+        later = [F.slice(content, F.lit(i + 1), F.greatest(F.size(content) - i, F.lit(0))) for i in range(CHAIN)]
+        zipped = F.arrays_zip(runs.alias("run"), *(c.alias(f"c{i}") for i, c in enumerate(later)))
+        return F.filter(zipped, lambda z: (F.trim(z["run"]) != "") & z[f"c{CHAIN - 1}"].isNotNull())
+
     def heads(z: Column) -> Column:
         anchors = F.filter(F.split(F.trim(z["run"]), " "), lambda w: w.isin(*dict.fromkeys(ANCHORS)))
         return F.transform(F.array_distinct(anchors), lambda w: F.xxhash64(w, *(z[f"c{i}"] for i in range(CHAIN))).bitwiseAND(low))
 
-    found = F.array_sort(F.array_distinct(F.flatten(F.transform(linked, heads))))
-    whole = F.when(F.trim(line) == "", F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(line).bitwiseAND(low)))
-    return F.when(F.size(found) > 0, found).otherwise(whole)
+    def chains(line: Column) -> Column:
+        content = F.filter(F.split(F.regexp_replace(line, f"(?<= ){stop} ", ""), " "), lambda w: w != "")
+        return _once(content, lambda c: F.array_sort(F.array_distinct(F.flatten(F.transform(linked(line, c), heads)))))
+
+    def either(line: Column) -> Column:
+        whole = F.when(F.trim(line) == "", F.array().cast("array<bigint>")).otherwise(F.array(F.xxhash64(line).bitwiseAND(low)))
+        return _once(chains(line), lambda found: F.when(F.size(found) > 0, found).otherwise(whole))
+
+    return _once(words(text), either)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed a single time, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def shown(signs: str | Column) -> Column:
@@ -82,28 +93,27 @@ def likeness(one: str | Column, two: str | Column, at_least: float = 0.0) -> Col
     )
 
 
-def with_next(rows: DataFrame, id_col: str, order: list[Column], columns: list[str], prefix: str = "next_", block_ids: int = BLOCK_IDS) -> DataFrame:
-    """Add ``prefix`` + c for each of ``columns`` from the row after, in descending id; after the last comes the first.
+def with_next(
+    rows: DataFrame, id_col: str, order: list[Column], columns: list[str], inside_only: tuple[str, ...] = (), block_ids: int = BLOCK_IDS
+) -> DataFrame:
+    """Add next_ + c for each of ``columns`` from the row after, in descending id; after the last comes the first.
 
-    ``order`` decides among equal ids. Rows are shuffled once, by blocks of ids.
+    ``order`` decides among equal ids. Rows are shuffled by blocks of ids; the first row of each block
+    goes to the block above. Columns ``inside_only`` come along within a block and are null at its border.
     """
     block = F.coalesce(F.floor(F.col(id_col) / block_ids), F.lit(-(1 << 62))).cast("long")
     inside = Window.partitionBy("_block").orderBy(F.desc_nulls_last(id_col), *order)
     held = rows.withColumn("_block", block)
-    placed = held.select(
-        "*", F.row_number().over(inside).alias("_place"), F.lead(F.struct(*columns)).over(inside).alias("_next"),
-        F.lead(F.lit(True)).over(inside).alias("_more"),
-    )
+    moved = F.struct(*columns, *inside_only)
+    placed = held.select("*", F.lead(moved).over(inside).alias("_next"))
     blocks = held.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
     downwards = Window.orderBy(F.desc("_block"))
-    whole = Window.partitionBy()
-    after = blocks.select(F.col("_block").alias("_of"), F.coalesce(F.lead("_block").over(downwards), F.max("_block").over(whole)).alias("_block"))
-    firsts = placed.where("_place = 1").select("_block", F.struct(*columns).alias("_first")).join(after, "_block")
-    firsts = firsts.select(F.col("_of").alias("_block"), "_first")
-    inner = placed.where("_more").withColumn("_found", F.col("_next"))
-    border = placed.where("_more is null").join(firsts, "_block").withColumn("_found", F.col("_first"))
-    kept = [*rows.columns, *(F.col(f"_found.{c}").alias(prefix + c) for c in columns)]
-    return inner.select(*kept).unionByName(border.select(*kept))
+    after = blocks.select(F.col("_block").alias("_of"), F.coalesce(F.lead("_block").over(downwards), F.max("_block").over(Window.partitionBy())).alias("_block"))
+    ranked = held.select("_block", F.struct(*columns).alias("_first"), F.row_number().over(inside).alias("_place"))
+    firsts = ranked.where("_place = 1").join(after, "_block").select(F.col("_of").alias("_block"), "_first")
+    joined = placed.join(firsts, "_block", "left")
+    added = [F.when(F.col("_next").isNull(), F.col(f"_first.{c}")).otherwise(F.col(f"_next.{c}")).alias(f"next_{c}") for c in columns]
+    return joined.select(*rows.columns, *added, *(F.col(f"_next.{c}").alias(f"next_{c}") for c in inside_only))
 
 
 def edited(text: str, other: str) -> Column:
@@ -122,7 +132,8 @@ def edited_likeness(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
     """
-    linked = with_next(fingerprints(docs, id_col, text_col), "doc_id", [F.asc("text")], ["text", "signs"])
+    linked = with_next(fingerprints(docs, id_col, text_col), "doc_id", [F.asc("text")], ["text"], ("signs",))
+    linked = linked.withColumn("next_signs", F.coalesce("next_signs", signatures("next_text")))
     other = linked.withColumn("edited", edited("text", "next_text")).withColumn("edited_signs", signatures("edited"))
     return other.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
