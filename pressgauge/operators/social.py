@@ -22,7 +22,7 @@ def annotate(
     stop: DataFrame,
     lemmas: DataFrame,
     speech: DataFrame,
-    tags: Sequence[str] = ("a", "s"),
+    tags: Sequence[str] = ("a", "s", "JJ", "JJS"),
     small: bool | None = None,
 ) -> DataFrame:
     """Score, lemma count and adjectives per comment, in one pass over its tokens.

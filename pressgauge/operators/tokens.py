@@ -88,7 +88,7 @@ def lemmatize_with_suffixes(
     return joined.withColumn("token", F.col("lemma")).drop("lemma")
 
 
-def of_speech(rows: DataFrame, speech: DataFrame, tags: Sequence[str] = ("a", "s"), small: bool | None = None) -> DataFrame:
+def of_speech(rows: DataFrame, speech: DataFrame, tags: Sequence[str] = ("a", "s", "JJ", "JJS"), small: bool | None = None) -> DataFrame:
     """Token rows tagged as one of ``tags`` in ``speech(token, pos)``; the default keeps adjectives."""
     wanted = speech.where(F.col("pos").isin(*tags)).select("token").distinct()
     return lookup(rows, wanted, "token", "left_semi", small=small, salt=_row_salt(rows))

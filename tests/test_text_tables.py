@@ -163,3 +163,9 @@ def test_tokens_of_null_text(spark):
     docs = table(spark, "id int, text string", (1, None))
     assert tokens.token_rows(docs, ["id"]).count() == 0
     assert docs.where(text_fn.is_present(F.col("text"))).count() == 0
+
+
+def test_adjectives_by_either_tag_set(spark):
+    rows = spark.createDataFrame([("big",), ("best",), ("run",), ("red",)], "token string")
+    speech = spark.createDataFrame([("big", "a"), ("best", "JJS"), ("run", "VB"), ("red", "JJ")], "token string, pos string")
+    assert sorted(r.token for r in tokens.of_speech(rows, speech, small=True).collect()) == ["best", "big", "red"]
