@@ -23,9 +23,10 @@ def softmax(values: Column) -> Column:
     return F.transform(powers, lambda v: v / total)
 
 
-def pad(values: Column, width: int) -> Column:
-    """Array cut or zero-filled to a fixed width."""
-    return F.slice(F.concat(values, F.array_repeat(F.lit(0), width)), 1, width)
+def pad(values: Column, width: int | Column) -> Column:
+    """Array cut or zero-filled to a fixed width; to keep it whole, give at least its own length."""
+    wanted = F.lit(width) if isinstance(width, int) else width
+    return F.slice(F.concat(values, F.array_repeat(F.lit(0), wanted)), F.lit(1), wanted)
 
 
 def pseudo_random_vector(key: Column, width: int, seed: int = 0) -> Column:

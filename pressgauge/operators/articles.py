@@ -50,13 +50,15 @@ def fetch(
     """Seeds with their stored page, extracted; a seed without page gets empty strings.
 
     Pages nobody asks for are dropped first, without a shuffle if the seeds are few; the others are
-    extracted before the join, so the HTML does not travel with the seeds. Where an address is
-    stored more than once, name the ``version`` column: the newest page of each address is taken.
+    extracted before the join, so the HTML does not travel with the seeds. Of an address stored more
+    than once, one page is taken: the newest by the ``version`` column, if named, then the largest.
     """
     stored = pages.select(F.col("url").alias("news_url"), "html", *([version] if version else []))
     wanted = lookup(stored, seeds.select("news_url").distinct(), "news_url", "left_semi", small=small)
+    newest = [F.desc_nulls_last(version)] if version else []
+    wanted = first_per_key(wanted, ["news_url"], *newest, F.desc_nulls_last("html"))
     if version:
-        wanted = first_per_key(wanted, ["news_url"], F.desc(version)).drop(version)
+        wanted = wanted.drop(version)
     joined = seeds.select(*columns).join(extract(wanted), "news_url", "left")
     return joined.na.fill("", ["news_title", "news_text", "news_image"])
 

@@ -7,11 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressgauge.functions import text as text_fn, vectors
-from pressgauge.operators.joins import lookup
-
-# Shape of a document matrix.
-MAX_SENTENCES = 100
-MAX_WORDS = 100
+from pressgauge.operators.joins import lookup, unique
 
 
 def vocabulary_from_lines(lines: DataFrame, line: str = "line", rank: str = "rank") -> DataFrame:
@@ -32,13 +28,13 @@ def unlabelled(docs: DataFrame, labels: DataFrame, key: str) -> DataFrame:
     return lookup(docs, labels.select(key).distinct(), key, "left_anti")
 
 
-def word_rows(docs: DataFrame, ids: Sequence[str], sentences: Column, max_sentences: int = MAX_SENTENCES) -> DataFrame:
-    """Words of the first sentences of each document: ids, ``sent_pos``, ``pos``, ``token``.
+def word_rows(docs: DataFrame, ids: Sequence[str], sentences: Column, max_sentences: int | None = None) -> DataFrame:
+    """Words of each document, or of its first ``max_sentences``: ids, ``sent_pos``, ``pos``, ``token``.
 
     Documents are shuffled by id before they are taken apart: numbering words and regrouping them
     by sentence and document then needs no further shuffle.
     """
-    parts = docs.select(*ids, F.slice(sentences, 1, max_sentences).alias("_s")).repartition(*ids)
+    parts = docs.select(*ids, (sentences if max_sentences is None else F.slice(sentences, 1, max_sentences)).alias("_s")).repartition(*ids)
     kept = parts.select(*ids, F.posexplode_outer("_s").alias("sent_pos", "sentence"))
     return kept.select(*ids, "sent_pos", F.posexplode(text_fn.word_sequence(F.col("sentence"))).alias("pos", "token"))
 
@@ -48,44 +44,48 @@ def index_rows(
     vocab: DataFrame,
     ids: Sequence[str],
     *,
-    max_words: int = MAX_WORDS,
+    max_words: int | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """Known words by index: ids, ``sent_pos``, ``word_pos``, ``idx``.
 
-    Unknown words take no position; a sentence keeps its first ``max_words`` known words.
+    Unknown words take no position; a sentence keeps all known words, or the first ``max_words``.
     """
-    known = lookup(words, vocab.select("token", "idx"), "token", small=small, salt=F.xxhash64(*ids, "sent_pos", "pos"))
+    known = lookup(words, unique(vocab.select("token", "idx"), "token", small), "token", small=small, salt=F.xxhash64(*ids, "sent_pos", "pos"))
     order = Window.partitionBy(*ids, "sent_pos").orderBy("pos")
-    placed = known.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= max_words)
+    placed = known.withColumn("_rank", F.row_number().over(order))
+    if max_words is not None:
+        placed = placed.where(F.col("_rank") <= max_words)
     return placed.select(*ids, "sent_pos", (F.col("_rank") - 1).alias("word_pos"), F.col("idx").cast("int").alias("idx"))
 
 
 def sentence_ids(index: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Index arrays per sentence, in word order: at most ``MAX_WORDS`` entries each."""
+    """Index arrays per sentence, in word order; a group is one sentence."""
     ordered = F.array_sort(F.collect_list(F.struct("word_pos", "idx")))
     return index.groupBy(*ids, "sent_pos").agg(F.transform(ordered, lambda x: x.idx).alias("ids"))
 
 
-def document_sentences(index: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Per document, its non-empty sentences as (sent_pos, ids) in order: bounded by the matrix shape."""
-    rows = sentence_ids(index, ids)
-    return rows.groupBy(*ids).agg(F.array_sort(F.collect_list(F.struct("sent_pos", "ids"))).alias("sentences"))
-
-
 def matrix(
-    index: DataFrame, ids: Sequence[str], max_sentences: int = MAX_SENTENCES, max_words: int = MAX_WORDS
+    index: DataFrame, ids: Sequence[str], max_sentences: int | None = None, max_words: int | None = None
 ) -> DataFrame:
-    """Zero-padded index matrix per document."""
+    """Zero-padded index matrix per document.
+
+    Without limits it has a line up to the last sentence with a known word, and each line is as wide
+    as the document's longest; a given limit is the shape, cutting what is beyond it.
+    """
     rows = sentence_ids(index, ids)
-    padded = F.struct("sent_pos", vectors.pad(F.col("ids"), max_words).alias("row"))
-    grouped = rows.groupBy(*ids).agg(F.map_from_entries(F.collect_list(padded)).alias("_rows"))
-    blank = F.array_repeat(F.lit(0), max_words)
-    lines = F.transform(
-        F.sequence(F.lit(0), F.lit(max_sentences - 1)),
-        lambda i: F.coalesce(F.try_element_at("_rows", i), blank),
+    grouped = rows.groupBy(*ids).agg(
+        F.map_from_entries(F.collect_list(F.struct("sent_pos", "ids"))).alias("_rows"),
+        F.max(F.size("ids")).alias("_width"), F.max("sent_pos").alias("_last"),
     )
-    return grouped.select(*ids, lines.alias("matrix"))
+    width = F.col("_width") if max_words is None else F.lit(max_words)
+    last = F.col("_last") if max_sentences is None else F.lit(max_sentences - 1)
+    blank = F.array().cast("array<int>")
+
+    def line(i: Column) -> Column:
+        return vectors.pad(F.coalesce(F.try_element_at("_rows", i), blank), width)
+
+    return grouped.select(*ids, F.transform(F.sequence(F.lit(0), last), line).alias("matrix"))
 
 
 def matrix_lengths(df: DataFrame, matrix_column: str = "matrix") -> DataFrame:

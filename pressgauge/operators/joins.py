@@ -12,6 +12,20 @@ SPREAD = 64
 HOT_SHARE = 0.005
 
 
+def unique(table: DataFrame, key: str | Sequence[str], small: bool | None = None) -> DataFrame:
+    """One row per key; where a dictionary lists a key more than once, its largest other values stay.
+
+    For a ranked word file that is the last rank. A table proven ``small`` is reduced in one task, as it
+    is broadcast whole anyway.
+    """
+    table = table.repartition(1) if small else table
+    keys = [key] if isinstance(key, str) else list(key)
+    others = [c for c in table.columns if c not in keys]
+    if not others:
+        return table.distinct()
+    return table.groupBy(*keys).agg(F.max(F.struct(*others)).alias("_row")).select(*keys, "_row.*")
+
+
 def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Measure at most ``max_rows + 1`` rows and say whether the table may be broadcast."""
     size = table.limit(max_rows + 1).agg(

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pressgauge.functions import text as text_fn
 from pressgauge.operators.joins import is_small, lookup
-from pressgauge.operators.tweets import longest_phrase, phrase_rows
+from pressgauge.operators.tweets import phrase_lengths, phrase_rows
 
 # Entity types that may serve as keywords.
 KEYWORD_TYPES = ("PERSON", "NORP", "FAC", "ORG", "GPE", "PRODUCT", "EVENT")
@@ -34,16 +34,13 @@ def mine_keywords(
     *,
     title: str = "title",
     types: Sequence[str] = KEYWORD_TYPES,
-    max_words: int | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """Distinct ``keyword`` for gazetteer phrases of the wanted types found in a title."""
     wanted = gazetteer.where(F.col("ent_type").isin(*types))
-    if max_words is None:
-        max_words = max(longest_phrase(wanted), 1)
     normal = F.array_join(text_fn.letter_tokens(F.col("phrase")), " ")
     table = wanted.select(normal.alias("phrase"), F.col("phrase").alias("keyword")).where(F.col("phrase") != "").distinct()
-    runs = phrase_rows(titles, [], text_fn.letter_tokens(F.col(title)), max_words)
+    runs = phrase_rows(titles, [], text_fn.letter_tokens(F.col(title)), phrase_lengths(table))
     if small is None:
         small = is_small(table)
     # A large gazetteer is joined by shuffle: repeated runs are then combined first.

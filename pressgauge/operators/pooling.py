@@ -16,10 +16,9 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pressgauge.operators import features
+from pressgauge.operators.joins import lookup
 
 SAFE_BOUND = 300.0
-MATRIX_ROWS = 50_000
 
 
 @dataclass(frozen=True)
@@ -51,28 +50,36 @@ def score(vector: Column, attention: Attention) -> Column:
     return scores(vector)
 
 
-def _weighted(df: DataFrame, group: Sequence[str], vector: str, attention: Attention) -> DataFrame:
-    scored = df.where(F.col(vector).isNotNull()).withColumn("_s", score(F.col(vector).cast("array<double>"), attention))
+def _scored(df: DataFrame, vector: str, attention: Attention) -> DataFrame:
+    return df.where(F.col(vector).isNotNull()).withColumn("_s", score(F.col(vector).cast("array<double>"), attention))
+
+
+def _powers(scored: DataFrame, group: Sequence[str], attention: Attention) -> DataFrame:
+    """Rows with ``_e``, the exponential of their score, kept in range."""
     if attention.bound <= SAFE_BOUND:
         return scored.withColumn("_e", F.exp(F.col("_s") - F.lit(attention.bound)))
     tops = scored.groupBy(*group).agg(F.max("_s").alias("_top"))
     return scored.join(tops, list(group)).withColumn("_e", F.exp(F.col("_s") - F.col("_top"))).drop("_top")
 
 
-def pool(df: DataFrame, group: Sequence[str], vector: str, attention: Attention, out: str = "pooled") -> DataFrame:
-    """One pooled vector per group."""
-    rows = _weighted(df, group, vector, attention).withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
+def _means(weighted: DataFrame, group: Sequence[str], vector: str, out: str) -> DataFrame:
+    rows = weighted.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
     mean = Summarizer.mean(F.col("_v"), F.col("_e"))
     return rows.groupBy(*group).agg(mean.alias("_m")).select(*group, vector_to_array("_m").alias(out))
 
 
+def pool(df: DataFrame, group: Sequence[str], vector: str, attention: Attention, out: str = "pooled") -> DataFrame:
+    """One pooled vector per group."""
+    return _means(_powers(_scored(df, vector, attention), group, attention), group, vector, out)
+
+
 def weights(df: DataFrame, group: Sequence[str], vector: str, attention: Attention, out: str = "alpha") -> DataFrame:
     """Rows with their softmax weight within the group.
 
     The group sums are joined back rather than windowed: Spark broadcasts them if they turn out
     small and splits a hot group if not, while a window would hold the group in one task.
     """
-    rows = _weighted(df, group, vector, attention).drop("_s")
+    rows = _powers(_scored(df, vector, attention), group, attention).drop("_s")
     sums = rows.groupBy(*group).agg(F.sum("_e").alias("_total"))
     return rows.join(sums, list(group)).withColumn(out, F.col("_e") / F.col("_total")).drop("_e", "_total")
 
@@ -82,48 +89,17 @@ def join_directions(forward: Column, backward: Column) -> Column:
     return F.concat(forward, backward)
 
 
-def document_vectors_by_join(
-    index: DataFrame, table: DataFrame, ids: Sequence[str], words: Attention, sentences: Attention, out: str = "pooled"
-) -> DataFrame:
-    """Two-level document vectors when the vector table is too large to broadcast."""
-    per_sentence = pool(features.embed(index, table), [*ids, "sent_pos"], "vector", words, "vector")
-    return pool(per_sentence, ids, "vector", sentences, out)
-
-
 def document_vectors(
-    index: DataFrame, table: DataFrame, ids: Sequence[str], words: Attention, sentences: Attention, out: str = "pooled"
+    index: DataFrame, table: DataFrame, ids: Sequence[str], words: Attention, sentences: Attention, out: str = "pooled",
+    *, small: bool | None = None,
 ) -> DataFrame:
     """Two-level document vectors: words pool to sentences, sentences to documents.
 
-    Documents travel as index arrays. The vector table, if small, is broadcast as one matrix and
-    looked up inside the tasks, so no vector is shuffled before it is pooled.
+    Words are scored once in the vector table, not once per occurrence. The table is broadcast if
+    measured small, else joined by shuffle; the rows are the same. An index without a vector is left out.
     """
-    spark = index.sparkSession
-    # The limit bounds what reaches the driver; one row more than allowed means too large.
-    entries = table.select("idx", "vector").limit(MATRIX_ROWS + 1).toPandas()
-    if len(entries) > MATRIX_ROWS:
-        return document_vectors_by_join(index, table, ids, words, sentences, out)
-    lookup_matrix = np.zeros((int(entries["idx"].max()) + 1, len(entries["vector"].iloc[0])))
-    lookup_matrix[entries["idx"].to_numpy()] = np.stack(entries["vector"].to_numpy())
-    word_weight = np.exp(words.scores(lookup_matrix) - words.bound)
-    shared = spark.sparkContext.broadcast((lookup_matrix, word_weight))
-
-    @F.pandas_udf("array<double>")
-    def pooled(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        vectors, weight = shared.value
-        for batch in batches:
-            yield batch.map(lambda doc: _pool_document(doc, vectors, weight, sentences))
-
-    docs = features.document_sentences(index, ids)
-    return docs.select(*ids, pooled(F.transform("sentences", lambda s: s.ids)).alias(out))
-
-
-def _pool_document(doc, vectors: np.ndarray, weight: np.ndarray, sentences: Attention) -> np.ndarray:
-    sizes = np.fromiter((len(s) for s in doc), dtype=np.int64, count=len(doc))
-    flat = np.concatenate(list(doc))
-    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
-    share = weight[flat]
-    means = np.add.reduceat(vectors[flat] * share[:, None], starts) / np.add.reduceat(share, starts)[:, None]
-    s = sentences.scores(means)
-    power = np.exp(s - s.max())
-    return power @ means / power.sum()
+    scored = _scored(table.select(F.col("idx").cast("int").alias("idx"), "vector"), "vector", words)
+    found = lookup(index, scored, "idx", small=small)
+    group = [*ids, "sent_pos"]
+    per_sentence = _means(_powers(found, group, words), group, "vector", "vector")
+    return pool(per_sentence, ids, "vector", sentences, out)

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressgauge.functions import text as text_fn
-from pressgauge.operators.joins import lookup
+from pressgauge.operators.joins import lookup, unique
 
 # Normalisation constant and the weights of the emphasis rules.
 ALPHA = 15
@@ -43,7 +43,7 @@ def score_texts(
     ``ids`` must identify the text; further columns that depend on it may be listed to carry them.
     """
     tokens = df.select(*ids, F.explode_outer(tokenizer(F.col(text))).alias("token"))
-    valued = lookup(tokens, lexicon.select("token", "valence"), "token", "left", small=small)
+    valued = lookup(tokens, unique(lexicon.select("token", "valence"), "token", small), "token", "left", small=small)
     total = F.sum(F.coalesce("valence", F.lit(0.0)))
     return valued.groupBy(*ids).agg(compound(total).alias(out))
 
@@ -103,7 +103,8 @@ def score_texts_with_emphasis(
         return F.struct(F.lower(word).alias("token"), capitals.alias("caps"), *previous)
 
     rows = marked.select(*ids, "_excl", "_ques", F.inline_outer(F.transform("_words", with_context)))
-    valued = lookup(rows, lexicon.select("token", "valence"), "token", "left", small=small)
+    valued = lookup(rows, unique(lexicon.select("token", "valence"), "token", small), "token", "left", small=small)
+    modifiers = unique(modifiers.select("token", "boost", "negates"), "token", small)
     for k in (1, 2, 3):
         table = modifiers.select(
             F.col("token").alias(f"prev{k}"),

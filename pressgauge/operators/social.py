@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pressgauge.functions import text as text_fn
 from pressgauge.operators import engagement
-from pressgauge.operators.joins import lookup
+from pressgauge.operators.joins import lookup, unique
 from pressgauge.operators.sentiment import compound
 
 SEED_FIELDS = ("news_id", "news_keyword", "retweet_count", "favorite_count", "news_url", "tweet_url")
@@ -31,9 +31,9 @@ def annotate(
     out, and adjectives among the lemmas keep their order and repeats.
     """
     rows = comments.select(*ids, F.posexplode_outer(text_fn.letter_tokens(F.col("comment"))).alias("pos", "token"))
-    rows = lookup(rows, lexicon.select("token", "valence"), "token", "left", small=small)
-    rows = lookup(rows, stop.select("token", F.lit(True).alias("is_stop")), "token", "left", small=small)
-    rows = lookup(rows, lemmas.select("token", "lemma"), "token", "left", small=small)
+    rows = lookup(rows, unique(lexicon.select("token", "valence"), "token", small), "token", "left", small=small)
+    rows = lookup(rows, stop.select("token").distinct().withColumn("is_stop", F.lit(True)), "token", "left", small=small)
+    rows = lookup(rows, unique(lemmas.select("token", "lemma"), "token", small), "token", "left", small=small)
     adjectives = speech.where(F.col("pos").isin(*tags)).select(F.col("token").alias("lemma"), F.lit(True).alias("is_tagged")).distinct()
     rows = lookup(rows, adjectives, "lemma", "left", small=small)
     kept = F.col("is_stop").isNull() & F.col("lemma").isNotNull()
@@ -46,23 +46,26 @@ def annotate(
 
 
 def score_comments(seeds: DataFrame, comments: DataFrame, **tables: DataFrame) -> DataFrame:
-    """Comment rows of all seeds with score and adjectives; comments without lemmas are dropped."""
+    """Comment rows of all seeds with score and adjectives; comments without lemmas are dropped.
+
+    A comment is known by article, tweet and position, as an article may have had several tweets.
+    """
     joined = engagement.attach_comments(seeds.select(*SEED_FIELDS), comments)
-    ids = ["news_id", "position"]
+    ids = ["news_id", "tweet_url", "position"]
     notes = annotate(joined.select(*ids, "comment"), ids, **tables)
     return joined.join(notes.where(F.col("n_lemmas") > 0).drop("n_lemmas"), ids)
 
 
 def roll_up(scored: DataFrame, *, part_size: int = engagement.PART_SIZE) -> DataFrame:
-    """Social results per (news_id, part): lists in thread order, and the thread's weighted score.
+    """Social results per (news_id, tweet_url, part): lists in thread order, and the thread's weighted score.
 
     The score covers the whole thread and stands in every part; most threads have one part.
     """
     parts = engagement.thread_parts(
         scored, list(SEED_FIELDS), ["comment", "adjectives", "score", "like_count", "comment_time"], part_size=part_size
     )
-    means = engagement.weighted_sentiment(scored, ["news_id"])
-    return parts.join(means, "news_id").select(
+    means = engagement.weighted_sentiment(scored, ["news_id", "tweet_url"])
+    return parts.join(means, ["news_id", "tweet_url"]).select(
         *SEED_FIELDS, "part",
         F.col("comment").alias("tweets_comment"),
         F.array_join(F.filter("adjectives", lambda a: a != ""), " ").alias("tweets_tokens"),

@@ -13,7 +13,7 @@ from pyspark.ml.feature import CountVectorizerModel, SQLTransformer, StopWordsRe
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from pressgauge.functions import text as text_fn
-from pressgauge.operators.joins import BROADCAST_ROWS, lookup
+from pressgauge.operators.joins import BROADCAST_ROWS, lookup, unique
 
 
 def token_rows(
@@ -60,7 +60,7 @@ def default_stop_words(spark: SparkSession, language: str = "english") -> DataFr
 
 def lemmatize(rows: DataFrame, lemmas: DataFrame, small: bool | None = None) -> DataFrame:
     """Replace tokens by ``lemmas(token, lemma)``; tokens without a lemma are dropped."""
-    joined = lookup(rows, lemmas, "token", "inner", small=small, salt=_row_salt(rows))
+    joined = lookup(rows, unique(lemmas.select("token", "lemma"), "token", small), "token", "inner", small=small, salt=_row_salt(rows))
     return joined.withColumn("token", F.col("lemma")).drop("lemma")
 
 

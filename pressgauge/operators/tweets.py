@@ -75,22 +75,23 @@ def keep_popular(tweets: DataFrame, minimum: int = MIN_FAVOURITES) -> DataFrame:
     return tweets.where(F.col("favorite_count") >= F.lit(minimum))
 
 
-def phrase_rows(df: DataFrame, ids: Sequence[str], tokens: Column, max_words: int, min_words: int = 1) -> DataFrame:
-    """Runs of ``min_words`` to ``max_words`` words per row: id columns and ``phrase``."""
+def phrase_rows(df: DataFrame, ids: Sequence[str], tokens: Column, lengths: Sequence[int]) -> DataFrame:
+    """Runs of as many words as ``lengths`` says per row: id columns and ``phrase``."""
     words = df.select(*ids, tokens.alias("_w"))
 
     def runs_of(n: int) -> Column:
         starts = F.slice(F.sequence(F.lit(0), F.size("_w")), F.lit(1), F.greatest(F.size("_w") - (n - 1), F.lit(0)))
         return F.transform(starts, lambda i: F.concat_ws(" ", *[F.get("_w", i + k) for k in range(n)]))
 
-    runs = [F.col("_w") if n == 1 else runs_of(n) for n in range(min_words, max_words + 1)]
+    runs = [F.col("_w") if n == 1 else runs_of(n) for n in lengths or [1]]
     return words.select(*ids, F.explode(F.concat(*runs) if len(runs) > 1 else runs[0]).alias("phrase"))
 
 
-def longest_phrase(phrases: DataFrame, phrase: str = "phrase") -> int:
-    """Word count of the longest phrase in a dictionary (0 if it is empty)."""
+def phrase_lengths(phrases: DataFrame, phrase: str = "phrase") -> list[int]:
+    """The word counts that occur among a dictionary's phrases, so that only such runs are built."""
     words = F.size(text_fn.letter_tokens(F.col(phrase)))
-    return phrases.agg(F.max(words)).first()[0] or 0
+    found = phrases.agg(F.collect_set(words).alias("n")).first().n
+    return sorted(n for n in found if n > 0)
 
 
 def search_keywords(
@@ -99,22 +100,18 @@ def search_keywords(
     ids: Sequence[str],
     *,
     text: str = "text",
-    max_words: int | None = None,
     small: bool | None = None,
 ) -> DataFrame:
     """Distinct (ids, ``news_keyword``) for keywords whose words occur in a row in the text.
 
     Keywords and texts are compared as lower-cased words, by an equi-join on word runs: no keyword
-    is tested against a text it shares no run with.
+    is tested against a text it shares no run with. The keyword table is read once for the lengths of its
+    keywords and once for the join; store it if it is dear to make.
     """
-    if max_words is None:
-        max_words = longest_phrase(keywords, "keyword")
-    if max_words < 1:
-        max_words = 1
     normal = F.array_join(text_fn.letter_tokens(F.col("keyword")), " ")
     table = keywords.select(normal.alias("phrase"), F.col("keyword").alias("news_keyword")) \
         .where(F.col("phrase") != "").distinct()
-    runs = phrase_rows(tweets, ids, text_fn.letter_tokens(F.col(text)), max_words)
+    runs = phrase_rows(tweets, ids, text_fn.letter_tokens(F.col(text)), phrase_lengths(table))
     return lookup(runs, table, "phrase", small=small, salt=F.xxhash64(*ids)).select(*ids, "news_keyword").distinct()
 
 
@@ -124,8 +121,7 @@ def searchable(tweets: DataFrame, language: str = "en") -> DataFrame:
 
 
 def find_hits(
-    tweets: DataFrame, keywords: DataFrame, *, minimum: int = MIN_FAVOURITES, max_words: int | None = None,
-    small: bool | None = None,
+    tweets: DataFrame, keywords: DataFrame, *, minimum: int = MIN_FAVOURITES, small: bool | None = None,
 ) -> DataFrame:
     """Hits (tweet_id, news_keyword, counts, urls) of keywords in flattened tweets.
 
@@ -133,7 +129,7 @@ def find_hits(
     """
     pool = keep_article_links(keep_popular(searchable(tweets), minimum))
     columns = ["tweet_id", "retweet_count", "favorite_count", "tweet_url", "news_url"]
-    found = search_keywords(pool, keywords, columns, max_words=max_words, small=small)
+    found = search_keywords(pool, keywords, columns, small=small)
     return found.select("tweet_id", "news_keyword", "retweet_count", "favorite_count", "tweet_url", "news_url")
 
 

@@ -7,13 +7,17 @@ broadcast. A third of the tweets link to one page, to keep a hot key in every ru
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from pressgauge import schemas
 from pressgauge.functions import counts
 from pressgauge.functions import text as text_fn
 from pressgauge.operators import pooling, tokens, tweets
-from pressgauge.sinks.files import stored
+from pressgauge.session import fresh_dir
 from pressgauge.sources.files import read_table
 
 VOCABULARY = 1000
@@ -30,13 +34,18 @@ SENTENCES = pooling.Attention(
 )
 
 
+_DICTIONARIES: dict[tuple[str, str, str], tuple[str, StructType]] = {}
+
+
 class Inputs:
-    """The derived tables over one data folder."""
+    """The derived tables over one data folder.
+
+    The dictionaries that rank the corpus are stored once per application and folder, as a user's are.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
-        self._vocab: DataFrame | None = None
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.folder, name)
@@ -84,14 +93,23 @@ class Inputs:
     def english_tokens(self) -> DataFrame:
         return tokens.token_rows(self.table("documents").where("lang = 'en'"), ["doc_id"])
 
-    def store_vocab(self) -> Inputs:
-        """Write the vocabulary once, for queries that read it many times."""
-        self._vocab = stored(self.vocab(), "vocabulary")
-        return self
+    def _dictionary(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key in _DICTIONARIES:
+            path, schema = _DICTIONARIES[key]
+            try:
+                return self.spark.read.schema(schema).parquet(path)
+            except AnalysisException:  # the shared folder was cleared meanwhile
+                del _DICTIONARIES[key]
+        rows, path = make(), fresh_dir(self.spark, name)
+        rows.write.parquet(path)
+        _DICTIONARIES[key] = (path, rows.schema)
+        return self.spark.read.schema(rows.schema).parquet(path)
 
     def vocab(self) -> DataFrame:
-        if self._vocab is not None:
-            return self._vocab
+        return self._dictionary("vocabulary", self.ranked_vocab)
+
+    def ranked_vocab(self) -> DataFrame:
         return tokens.vocabulary(self.english_tokens(), VOCABULARY, min_length=3)
 
     def lexicon(self) -> DataFrame:
@@ -120,9 +138,12 @@ class Inputs:
         )
 
     def phrases(self) -> DataFrame:
+        return self._dictionary("phrases", self.ranked_phrases)
+
+    def ranked_phrases(self) -> DataFrame:
         """The twenty most frequent word pairs."""
         pairs = tweets.phrase_rows(
-            self.table("documents").where("lang = 'en'"), [], text_fn.letter_tokens(F.col("text")), 2, min_words=2
+            self.table("documents").where("lang = 'en'"), [], text_fn.letter_tokens(F.col("text")), [2]
         )
         ranked = pairs.groupBy("phrase").agg(F.count(F.lit(1)).alias("n"))
         return ranked.orderBy(F.desc("n"), "phrase").limit(20).select("phrase")

@@ -141,13 +141,12 @@ VIEWS = {
         from (select doc_id, string_split(text, '.') as s from documents)""",
     "v_words": f"""
         select doc_id, sent_pos, unnest(w) as token, generate_subscripts(w, 1) as pos
-        from (select doc_id, sent_pos, regexp_extract_all(lower(sentence), '{_WORD}') as w from v_sent where sent_pos < 100)""",
+        from (select doc_id, sent_pos, regexp_extract_all(lower(sentence), '{_WORD}') as w from v_sent)""",
     "v_index": """
         select doc_id, cast(sent_pos as integer) as sent_pos,
                cast(row_number() over (partition by doc_id, sent_pos order by pos) - 1 as integer) as word_pos,
                cast(idx as integer) as idx
-        from v_words join v_vocab using (token)
-        qualify word_pos < 100""",
+        from v_words join v_vocab using (token)""",
     "v_full": f"""
         select idx, token, embedding is not null as found,
                coalesce(embedding::double[], list_transform(range({WIDTH}), lambda x: 0.5::double)) as vector
@@ -367,12 +366,18 @@ BODIES = {
         select coalesce(s.news_id, a.news_id) as news_id, cast(0 as bigint) as part, favorite_count, weighted_sentiment_score, news_title,
                case when s.news_id is null then date '2024-01-01' else date '2024-01-02' end as date
         from social s full outer join art a on s.news_id = a.news_id""",
+    "stream_two_sides": """
+        select coalesce(s.news_id, a.news_id) as news_id, s.favorite_count, a.n_chars,
+               case when s.news_id is null then date '2024-01-01' else date '2024-01-02' end as date
+        from v_seeds s full outer join (select sha256(url) as news_id, length(html) as n_chars from pages) a
+          on s.news_id = a.news_id""",
     "doc_index_matrix": "select * from v_index",
     "doc_lengths": """
         select doc_id, count(*) as doc_length, cast(sum(n) as bigint) as n_words, max(n) as longest_sentence
         from (select doc_id, sent_pos, count(*) as n from v_index group by all) group by doc_id""",
     "padded_matrix": """
-        select doc_id, cast(count(*) over (partition by doc_id) as integer) as doc_length, sent_pos, 100 as width,
+        select doc_id, cast(count(*) over (partition by doc_id) as integer) as doc_length, sent_pos,
+               cast(max(n) over (partition by doc_id) as integer) as width,
                cast(n as integer) as length, ids
         from (select doc_id, sent_pos, count(*) as n, string_agg(cast(idx as varchar), ',' order by word_pos) as ids
               from v_index group by all)""",

@@ -113,7 +113,6 @@ def comment_explode_outer(i: Inputs) -> DataFrame:
 @register
 def social_results(i: Inputs) -> DataFrame:
     """The whole social side for all seeds."""
-    i.store_vocab()
     rows = daily.social_results(i.seeds(), i.thread_comments(), i.social_tables())
     return rows.select(
         "news_id", "part", "favorite_count", F.size("tweets_comment").alias("n_comments"),
@@ -167,7 +166,7 @@ def text_union(i: Inputs) -> DataFrame:
 @register
 def keyword_mining(i: Inputs) -> DataFrame:
     phrases = i.phrases().select("phrase", F.lit("EVENT").alias("ent_type"))
-    return keywords.mine_keywords(i.titles(), i.gazetteer().unionByName(phrases), max_words=2, small=True)
+    return keywords.mine_keywords(i.titles(), i.gazetteer().unionByName(phrases), small=True)
 
 
 @register
@@ -177,7 +176,7 @@ def headline_runs(i: Inputs) -> DataFrame:
 
 @register
 def keyword_search(i: Inputs) -> DataFrame:
-    return tweets.search_keywords(i.tweets(), i.keywords(), ["tweet_id"], max_words=2, small=True)
+    return tweets.search_keywords(i.tweets(), i.keywords(), ["tweet_id"], small=True)
 
 
 # --- Tweets to seeds ----------------------------------------------------------------------------
@@ -191,7 +190,7 @@ def tweet_flatten(i: Inputs) -> DataFrame:
 @register
 def tweet_hits(i: Inputs) -> DataFrame:
     """Raw tweets and keywords to hits: language, link, threshold, host and keyword filters."""
-    return tweets.find_hits(tweets.flatten_tweets(i.tweet_json()), i.keywords(), max_words=2, small=True)
+    return tweets.find_hits(tweets.flatten_tweets(i.tweet_json()), i.keywords(), small=True)
 
 
 @register
@@ -343,7 +342,8 @@ def term_counts(i: Inputs) -> DataFrame:
 
 @register
 def vocabulary_topk(i: Inputs) -> DataFrame:
-    return i.vocab()
+    """The most frequent words of the English documents."""
+    return i.ranked_vocab()
 
 
 @register
@@ -375,7 +375,6 @@ def article_join(i: Inputs) -> DataFrame:
 def article_results(i: Inputs) -> DataFrame:
     """The whole article side for all pages."""
     asked = i.table("pages").select(F.sha2("url", 256).alias("news_id"), F.col("url").alias("news_url"))
-    i.store_vocab()
     rows = daily.article_results(asked, i.table("pages"), i.article_tables())
     scores = F.transform("sentiment_scores", lambda s: F.format_number(s, 4))
     return rows.select("news_id", "news_title", "news_tokens", _join(scores, ",").alias("scores"))
@@ -386,7 +385,7 @@ def document_merge(i: Inputs) -> DataFrame:
     """Social documents of all seeds and article documents of all pages, merged per article."""
     seeds = i.seeds()
     comments = engagement.attach_comments(seeds, i.thread_comments())
-    ids = ["news_id", "position", "like_count"]
+    ids = ["news_id", "tweet_url", "position", "like_count"]
     scored = sentiment.score_texts(comments, ids, "comment", i.lexicon(), small=True)
     means = engagement.weighted_sentiment(scored, ["news_id"])
     left = seeds.select("news_id", "favorite_count").join(means, "news_id").select(
@@ -546,7 +545,7 @@ def stream_weighted_sentiment(i: Inputs) -> DataFrame:
     """The flagship as two chained streams, over input that is sent twice."""
     session = _streaming_session(i.spark)
     scores, sums = fresh_dir(i.spark, "scores"), fresh_dir(i.spark, "sums")
-    lexicon = Inputs(session, i.folder).store_vocab().lexicon()
+    lexicon = Inputs(session, i.folder).lexicon()
     jobs.run_to_end(jobs.score_comment_stream(
         _replayed_comments(i, session), ["tweet_id", "turn"], ["like_count"], "event_time", lexicon, scores,
         f"{scores}-check", delay="7 days", available_now=True,
@@ -604,12 +603,33 @@ def stream_upsert(i: Inputs) -> DataFrame:
     return current.select("user_id", "event_id", "event_type", "value")
 
 
+@register
+def stream_two_sides(i: Inputs) -> DataFrame:
+    """Social and article documents upserted into one table by two streams, in several micro-batches each."""
+    session = _streaming_session(i.spark)
+    path = fresh_dir(i.spark, "sides")
+    social = i.seeds().select("news_id", "favorite_count", F.lit("2024-01-02").cast("date").alias("date"))
+    pages = i.table("pages").select(
+        F.sha2("url", 256).alias("news_id"), F.length("html").cast("bigint").alias("n_chars"),
+        F.lit("2024-01-01").cast("date").alias("date"),
+    )
+    for writer, rows in (("social", social), ("articles", pages)):
+        slices = fresh_dir(i.spark, writer)
+        rows.withColumn("slice", F.pmod(F.xxhash64("news_id"), F.lit(2))).write.partitionBy("slice").parquet(slices)
+        stream = read_files_as_topic(session, slices, rows.schema, files_per_trigger=1)
+        jobs.run_to_end(jobs.upsert_stream(
+            stream.select(*rows.columns), path, f"{path}-{writer}-check", mode="append", writer=writer,
+            modified=F.col("date").cast("timestamp"), available_now=True,
+        ))
+    return documents.read_documents(i.spark, path).select("news_id", "favorite_count", "n_chars", "date")
+
+
 @register
 def stream_articles(i: Inputs) -> DataFrame:
     """Pages asked for twice by a stream; their articles extracted, enriched and stored once."""
     session = _streaming_session(i.spark)
     path = fresh_dir(i.spark, "articles")
-    inputs = Inputs(session, i.folder).store_vocab()
+    inputs = Inputs(session, i.folder)
     asked = stream_table(session, i.folder, "pages").select(
         F.sha2("url", 256).alias("news_id"), F.col("url").alias("news_url"),
         F.lit("2024-01-01").cast("timestamp").alias("timestamp"),

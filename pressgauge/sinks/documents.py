@@ -1,33 +1,64 @@
-"""The document table: one record per ``news_id``, upserted batch by batch.
+"""The document table: one record per ``news_id``, upserted batch by batch by one or more writers.
 
-Every batch writes only its own rows, into a folder named by its batch id; replaying a batch
-replaces that folder. Reading keeps the newest row per key, which Spark thins out before the
-shuffle. :func:`compact` folds the batches into a new folder when there are many.
+Every batch writes only its own rows and the names of its fields. It becomes visible by one rename, and
+a batch already visible is not written again, so a replay changes nothing and no reader misses it.
+Reading takes, per key and field, the newest value among the rows whose writer has that field, in one
+aggregation with map-side combine. :func:`compact` folds the batches into a new folder when there are many.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from pressgauge.operators.tweets import first_per_key
+_FIELDS = T.StructField("_fields", T.ArrayType(T.StringType()))
+_MODIFIED = T.StructField("lastModified", T.TimestampType())
 
 
-def upsert(delta: DataFrame, path: str, batch_id: int, modified: Column | None = None) -> None:
-    """Write one batch of documents; idempotent per batch id."""
+def upsert(
+    delta: DataFrame, path: str, batch_id: int, modified: Column | None = None, writer: str = "main"
+) -> None:
+    """Write one batch of documents; idempotent per writer and batch id."""
     stamped = delta.withColumn("lastModified", modified if modified is not None else F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    _publish(stamped, delta.columns, path, f"writer={writer}/batch_id={batch_id}")
+
+
+def _publish(rows: DataFrame, fields: Sequence[str], path: str, folder: str) -> None:
+    """Write to a folder that readers skip, then rename it."""
+    spark = rows.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    target = hadoop(f"{path}/{folder}")
+    fs = target.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if fs.exists(target):
+        return
+    staged = f"{path}/_staged/{uuid.uuid4().hex}"
+    rows.withColumn("_fields", F.array(*[F.lit(c) for c in fields])).write.parquet(staged)
+    fs.mkdirs(target.getParent())
+    if not fs.rename(hadoop(staged), target):
+        raise OSError(f"cannot rename {staged} to {path}/{folder}")
 
 
 def read_documents(
     spark: SparkSession, path: str, keys: Sequence[str] = ("news_id",), order: Sequence[str] = (),
     schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Current documents: per key the row newest by ``order``, then by batch."""
-    reader = spark.read.schema(schema) if schema is not None else spark.read
+    """Current documents: per key and field the value newest by ``order``, then by ``lastModified``, then by batch.
+
+    A null that a writer wrote counts as a value; a field that it does not have does not. Give the
+    ``schema`` of all fields where there are many batches, else every file's schema is read.
+    """
+    if schema is not None:
+        known = [f for f in schema.fields if f.name not in (_FIELDS.name, _MODIFIED.name)]
+        reader = spark.read.schema(T.StructType([*known, _MODIFIED, _FIELDS]))
+    else:
+        reader = spark.read.option("mergeSchema", True)
     rows = reader.parquet(path).withColumn("batch_id", F.col("batch_id").cast("bigint"))
-    return first_per_key(rows, keys, *[F.desc(c) for c in order], F.desc("batch_id")).drop("batch_id")
+    version = F.struct(*order, "lastModified", "batch_id", F.col("writer").cast("string").alias("writer"))
+    fields = [c for c in rows.columns if c not in (*keys, "lastModified", "_fields", "batch_id", "writer")]
+    newest = [F.max_by(c, F.when(F.array_contains("_fields", c), version)).alias(c) for c in fields]
+    return rows.groupBy(*keys).agg(*newest, F.max("lastModified").alias("lastModified"))
 
 
 def compact(
@@ -38,22 +69,29 @@ def compact(
     Later batches then go to ``target``; their ids continue above the folded ones.
     """
     last = spark.read.parquet(source).agg(F.max("batch_id")).first()[0]
-    read_documents(spark, source, keys, order).write.mode("overwrite").parquet(f"{target}/batch_id={last}")
+    current = read_documents(spark, source, keys, order)
+    _publish(current, [c for c in current.columns if c != "lastModified"], target, f"writer=compact/batch_id={last}")
 
 
-def merge(social: DataFrame, articles: DataFrame) -> DataFrame:
+def merge(social: DataFrame, articles: DataFrame, time: str = "date") -> DataFrame:
     """Social and article documents as one record per ``news_id`` and part.
 
-    Articles belong to part 0. Both sides may lack the other; shared fields take the later side.
+    Articles belong to part 0. Both sides may lack the other; all shared fields come from the side later
+    by ``time``, from the article side if the times are equal or not given.
     """
     left = social if "part" in social.columns else social.withColumn("part", F.lit(0).cast("bigint"))
     right = articles.withColumn("part", F.lit(0).cast("bigint"))
-    shared = [c for c in right.columns if c in left.columns and c not in ("news_id", "part")]
-    joined = left.alias("s").join(right.alias("a"), ["news_id", "part"], "full_outer")
-    merged = [F.greatest(f"s.{c}", f"a.{c}").alias(c) for c in shared]
-    own = [F.col(f"s.{c}") for c in left.columns if c not in ("news_id", "part", *shared)]
-    other = [F.col(f"a.{c}") for c in right.columns if c not in ("news_id", "part", *shared)]
-    return joined.select("news_id", "part", *own, *other, *merged)
+    keys = ("news_id", "part")
+    shared = [c for c in right.columns if c in left.columns and c not in keys]
+    own = [F.col(f"s.{c}") for c in left.columns if c not in (*keys, *shared)]
+    other = [F.col(f"a.{c}") for c in right.columns if c not in (*keys, *shared)]
+    joined = left.withColumn("_s", F.lit(True)).alias("s").join(right.withColumn("_a", F.lit(True)).alias("a"), list(keys), "full_outer")
+    later = F.lit(True)
+    if time in shared:
+        later = F.coalesce(F.col(f"a.{time}") >= F.col(f"s.{time}"), F.col(f"s.{time}").isNull())
+    from_article = F.col("_a").isNotNull() & (F.col("_s").isNull() | later)
+    merged = [F.when(from_article, F.col(f"a.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in shared]
+    return joined.select(*keys, *own, *other, *merged)
 
 
 def with_date(docs: DataFrame, date: Column | None = None) -> DataFrame:

@@ -22,11 +22,14 @@ def read_lines(spark: SparkSession, path: str, name: str = "line") -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias(name))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False) -> DataFrame:
-    """CSV with the given column names and types; quoted fields may hold line feeds and quotes."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False, multi_line: bool = True) -> DataFrame:
+    """CSV with the given column names and types; quoted fields may hold line feeds and quotes.
+
+    Without ``multi_line`` a record is one line, and large files are split over tasks.
+    """
     return (
         spark.read.schema(schema).option("header", header)
-        .option("multiLine", True).option("escape", '"').csv(path)
+        .option("multiLine", multi_line).option("escape", '"').csv(path)
     )
 
 
@@ -57,9 +60,11 @@ def read_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.VECTOR).parquet(path)
 
 
-def read_day(spark: SparkSession, path: str, day: str) -> DataFrame:
+def read_day(spark: SparkSession, path: str, day: str, schema: T.StructType | None = None) -> DataFrame:
     """One day of a table partitioned by ``day``; other days are not listed or read."""
-    return spark.read.parquet(path).where(F.col("day") == F.lit(day).cast("date")).drop("day")
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    one = reader.option("basePath", path).parquet(f"{path}/day={day}")
+    return one.where(F.col("day") == F.lit(day).cast("date")).drop("day")
 
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:

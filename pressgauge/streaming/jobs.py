@@ -20,23 +20,23 @@ DAY = "1 day"
 def upsert_stream(
     rows: DataFrame, path: str, checkpoint: str, *, mode: str = "update",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
-    transform: Callable[[DataFrame], DataFrame] | None = None, modified: Column | None = None, **how,
+    transform: Callable[[DataFrame], DataFrame] | None = None, modified: Column | None = None, writer: str = "main", **how,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a document table, after an optional batch transformation.
 
     ``transform`` may read its input several times: the batch, or what ``prepare`` makes of it, is
-    computed once and kept until the batch is written.
+    computed once and kept until the batch is written. Streams that share a table need a ``writer`` name each.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         if transform is None:
-            documents.upsert(batch, path, batch_id, modified)
+            documents.upsert(batch, path, batch_id, modified, writer)
             return
         batch.persist()
         frame = prepare(batch).persist() if prepare else batch
         try:
             if batch_id == 0 or not batch.isEmpty():
-                documents.upsert(transform(frame), path, batch_id, modified)
+                documents.upsert(transform(frame), path, batch_id, modified, writer)
         finally:
             frame.unpersist()
             batch.unpersist()
@@ -69,7 +69,7 @@ def social_stream(
     seeds: DataFrame, comments: DataFrame, tables: dict[str, DataFrame], path: str, checkpoint: str,
     *, event_time: str = "timestamp", delay: str = DAY, **how,
 ) -> StreamingQuery:
-    """Comments of each newly seen seed, scored and stored one row per (news_id, position)."""
+    """Comments of each newly seen seed, scored and stored one row per (news_id, tweet_url, position)."""
     once = state.without_replays(seeds, ["news_id", "tweet_url"], event_time, delay)
     return upsert_stream(
         once, path, checkpoint, mode="append",

@@ -140,6 +140,24 @@ def test_order_column_beats_arrival(spark, tmp_path):
     assert documents.read_documents(spark, path, order=["v"]).first().v == 5
 
 
+def test_two_writers_keep_both_field_sets(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    at = lambda day: F.lit(f"2024-01-0{day}").cast("timestamp")
+    documents.upsert(spark.createDataFrame([("a", 0.5, "social")], "news_id string, score double, by string"), path, 0, at(1), "social")
+    documents.upsert(spark.createDataFrame([("a", "T", "article")], "news_id string, title string, by string"), path, 0, at(2), "articles")
+    documents.upsert(spark.createDataFrame([("a", None, "late")], "news_id string, score double, by string"), path, 1, at(3), "social")
+    row = documents.read_documents(spark, path).first()
+    assert (row.score, row.title, row.by) == (None, "T", "late")
+    documents.compact(spark, path, f"{path}-new")
+    assert documents.read_documents(spark, f"{path}-new").first().title == "T"
+
+
+def test_merge_takes_shared_fields_from_the_later_side(spark):
+    one = spark.createDataFrame([("a", "zeta", "2024-01-01")], "news_id string, by string, date string")
+    two = spark.createDataFrame([("a", "alpha", "2024-01-02")], "news_id string, by string, date string")
+    assert documents.merge(one, two).first().by == documents.merge(two, one).first().by == "alpha"
+
+
 def test_merge_is_full_outer(spark, rows):
     social = spark.createDataFrame([("a", 0, 1.0, "2024-01-02"), ("a", 1, 1.0, "2024-01-02"), ("b", 0, 2.0, "2024-01-01")],
                                    "news_id string, part long, score double, date string")

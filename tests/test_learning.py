@@ -13,9 +13,9 @@ def vocab(spark):
     return spark.createDataFrame([("a", 1), ("b", 2)], "token string, idx int")
 
 
-def index(spark, vocab, docs, **how):
+def index(spark, vocab, docs, max_sentences=None, **how):
     df = spark.createDataFrame(docs, "id int, s array<string>")
-    return features.index_rows(features.word_rows(df, ["id"], F.col("s")), vocab, ["id"], **how)
+    return features.index_rows(features.word_rows(df, ["id"], F.col("s"), max_sentences), vocab, ["id"], **how)
 
 
 def test_matrix_hand_case(spark, vocab):
@@ -28,7 +28,7 @@ def test_matrix_hand_case(spark, vocab):
 
 @pytest.mark.parametrize("small", [True, False])
 def test_limits_count_known_words_only(spark, vocab, small):
-    rows = index(spark, vocab, [(1, ["x " * 150 + "a " * 120] + ["b"] * 150)], max_words=100, small=small)
+    rows = index(spark, vocab, [(1, ["x " * 150 + "a " * 120] + ["b"] * 150)], max_sentences=100, max_words=100, small=small)
     assert rows.where("sent_pos = 0").count() == 100
     assert rows.agg(F.max("sent_pos")).first()[0] == 99
     assert rows.where("sent_pos = 0").agg(F.min("word_pos"), F.max("word_pos")).first()[:] == (0, 99)
@@ -90,13 +90,35 @@ def test_pool_hand_case(spark):
     assert pooling.pool(df, ["g"], "v", a).first().pooled == pytest.approx([0.268941, 0.731059], abs=1e-6)
 
 
-def test_two_level_vectors_agree(spark, vocab, monkeypatch):
+def test_whole_texts_by_default(spark, vocab):
+    rows = index(spark, vocab, [(1, ["a " * 150] + ["b"] * 150)])
+    assert rows.count() == 300
+    full = features.matrix(rows, ["id"]).first().matrix
+    assert len(full) == 151 and {len(line) for line in full} == {150} and full[150] == [2] + [0] * 149
+
+
+def test_repeated_vocabulary_rows_count_once(spark):
+    twice = spark.createDataFrame([("a", 1), ("a", 3), ("b", 2)], "token string, idx int")
+    rows = index(spark, twice, [(1, ["a b"])])
+    assert sorted(r.idx for r in rows.collect()) == [2, 3]
+
+
+def test_lowest_scores_and_unknown_indexes(spark, vocab):
+    rows = index(spark, vocab, [(1, ["a b"]), (2, ["b"])])
+    flat = pooling.Attention(((0.0,), (0.0,)), (-50.0,), (1000.0,))
+    assert flat.bound > pooling.SAFE_BOUND
+    table = spark.createDataFrame([(1, [1.0, 0.0])], "idx int, vector array<double>")
+    found = {r.id: r.pooled for r in pooling.document_vectors(rows, table, ["id"], flat, flat).collect()}
+    assert found == {1: pytest.approx([1.0, 0.0])}
+    assert pooling.document_vectors(rows, table.limit(0), ["id"], flat, flat).count() == 0
+
+
+def test_two_level_vectors_agree(spark, vocab):
     rows = index(spark, vocab, [(1, ["a b a", "b"]), (2, ["a"]), (3, ["x", "b a"])])
     full = spark.createDataFrame([(1, [1.0, 0.0, 2.0]), (2, [0.5, -1.0, 0.0])], "idx int, vector array<double>")
     words, sents = attention(3, seed=2), attention(3, seed=3)
-    fast = {r.id: r.pooled for r in pooling.document_vectors(rows, full, ["id"], words, sents).collect()}
-    monkeypatch.setattr(pooling, "MATRIX_ROWS", 1)
-    slow = {r.id: r.pooled for r in pooling.document_vectors(rows, full, ["id"], words, sents).collect()}
+    fast = {r.id: r.pooled for r in pooling.document_vectors(rows, full, ["id"], words, sents, small=True).collect()}
+    slow = {r.id: r.pooled for r in pooling.document_vectors(rows, full, ["id"], words, sents, small=False).collect()}
     assert fast.keys() == slow.keys() == {1, 2, 3}
     for key in fast:
         assert fast[key] == pytest.approx(slow[key], abs=1e-9)

@@ -169,3 +169,28 @@ def test_adjectives_by_either_tag_set(spark):
     rows = spark.createDataFrame([("big",), ("best",), ("run",), ("red",)], "token string")
     speech = spark.createDataFrame([("big", "a"), ("best", "JJS"), ("run", "VB"), ("red", "JJ")], "token string, pos string")
     assert sorted(r.token for r in tokens.of_speech(rows, speech, small=True).collect()) == ["best", "big", "red"]
+
+
+def test_two_tweets_of_one_article_stay_apart(spark):
+    seeds = spark.createDataFrame(
+        [("n", "k", 1, 2, "u", "t1"), ("n", "k", 1, 2, "u", "t2")],
+        "news_id string, news_keyword string, retweet_count long, favorite_count long, news_url string, tweet_url string",
+    )
+    comments = spark.createDataFrame(
+        [("t1", 0, "good", 1, "x"), ("t2", 0, "bad", 1, "x")],
+        "tweet_url string, position long, comment string, like_count long, comment_time string",
+    )
+    lexicon = spark.createDataFrame([("good", 2.0), ("bad", -2.0), ("good", 2.0)], "token string, valence double")
+    lemmas = spark.createDataFrame([("good", "good"), ("bad", "bad"), ("bad", "bad")], "token string, lemma string")
+    speech = spark.createDataFrame([("good", "a")], "token string, pos string")
+    stop = spark.createDataFrame([("the",), ("the",)], "token string")
+    scored = social.score_comments(seeds, comments, lexicon=lexicon, lemmas=lemmas, speech=speech, stop=stop)
+    assert {r.tweet_url: r.score for r in scored.collect()} == {"t1": 0.4588, "t2": -0.4588}
+    rolled = social.roll_up(scored).collect()
+    assert {r.tweet_url: r.weighted_sentiment_score for r in rolled} == {"t1": 0.4588, "t2": -0.4588} and len(rolled) == 2
+
+
+def test_page_stored_twice_is_one_article(spark):
+    seeds = spark.createDataFrame([("n", "u")], "news_id string, news_url string")
+    pages = spark.createDataFrame([("u", "<title>A</title><p>x</p>"), ("u", "<title>A</title><p>x</p>")], "url string, html string")
+    assert articles.fetch(seeds, pages).count() == 1
