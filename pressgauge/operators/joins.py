@@ -10,6 +10,7 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SPREAD = 64
 HOT_SHARE = 0.005
+LEAST_SHARE = 0.0001
 
 
 def unique(table: DataFrame, key: str | Sequence[str], small: bool | None = None) -> DataFrame:
@@ -35,11 +36,18 @@ def is_small(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int =
     return size.n <= max_rows and size.size <= max_bytes
 
 
-def hot_keys(facts: DataFrame, keys: Sequence[str], share: float = HOT_SHARE) -> list[int]:
+def hot_share(facts: DataFrame) -> float:
+    """The share of rows from which a key counts as hot: that of one shuffle partition, within limits."""
+    partitions = int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(LEAST_SHARE, min(HOT_SHARE, 1 / partitions))
+
+
+def hot_keys(facts: DataFrame, keys: Sequence[str], share: float | None = None) -> list[int]:
     """Hashes of all keys that hold at least ``share`` of the rows; at most a few per 1 / share.
 
     One pass without shuffle; a key that is listed without being hot does no harm.
     """
+    share = hot_share(facts) if share is None else share
     hashed = facts.select(F.xxhash64(*keys).alias("key"))
     return list(hashed.freqItems(["key"], share).first()[0] or [])
 

@@ -52,13 +52,17 @@ def message_key_length(rows: int, rows_per_message: int = 1000) -> int:
 
 
 def encode_messages(
-    seeds: DataFrame, names: Sequence[str] = SOCIAL_FIELDS, *, key_length: int = 2, key: str = "news_id"
+    seeds: DataFrame, names: Sequence[str] = SOCIAL_FIELDS, *, key_length: int | None = None, key: str = "news_id",
+    rows_per_message: int = 1000,
 ) -> DataFrame:
     """Delimited messages (key, value) for consumers that read many records per message.
 
     Records are grouped by the first digits of the hashed id. The digits are uniform, so messages
-    are even in size; :func:`message_key_length` picks their number from the row count.
+    are even in size. Unless ``key_length`` is given the seeds are counted, and as many digits are taken
+    as keep messages at about ``rows_per_message`` records.
     """
+    if key_length is None:
+        key_length = message_key_length(seeds.count(), rows_per_message)
     records = F.array_sort(F.collect_list(F.struct(F.col(key).alias("k"), record_text(names).alias("r"))))
     grouped = seeds.groupBy(F.left(F.col(key), F.lit(key_length)).alias("key")).agg(records.alias("_r"))
     return grouped.select("key", F.array_join(F.transform("_r", lambda x: x.r), ROW_SEPARATOR).alias("value"))

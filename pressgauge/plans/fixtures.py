@@ -54,18 +54,23 @@ class Inputs:
         first = F.substring_index("text", ".", 1)
         return self.table("documents").select("doc_id", "lang", F.concat(first, F.lit(" - "), "source").alias("title"))
 
-    def tweets(self) -> DataFrame:
+    def posts(self) -> DataFrame:
+        """Posts by the page they link to, a third of them to page 0."""
         conv = F.col("conv_id")
         page = F.when(conv % 3 == 0, F.lit(0)).otherwise(F.floor(conv / 4)).cast("bigint")
-        posts = self.table("conversations").where("turn = 0").select(
+        return self.table("conversations").where("turn = 0").select(
             conv.alias("tweet_id"), "text", page.alias("page_id"),
             ((conv * 13) % 700).alias("retweet_count"),
             (((conv * 397) % 30) * 100).alias("favorite_count"),
             F.concat(F.lit("https://twitter.com/u"), (conv % 7).cast("string"), F.lit("/status/"), conv.cast("string")).alias("tweet_url"),
             F.when(conv % 5 == 0, F.lit("fr")).otherwise(F.lit("en")).alias("lang"),
         )
-        pages = self.table("pages").select("page_id", F.col("url").alias("news_url"))
-        return posts.join(pages, "page_id")
+
+    def links(self) -> DataFrame:
+        return self.table("pages").select("page_id", F.col("url").alias("news_url"))
+
+    def tweets(self) -> DataFrame:
+        return self.posts().join(self.links(), "page_id")
 
     def comments(self, conversations: DataFrame | None = None) -> DataFrame:
         conv, turn = F.col("conv_id"), F.col("turn")

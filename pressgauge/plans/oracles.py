@@ -108,6 +108,8 @@ VIEWS = {
         select sha256(news_url) as news_id, 'kw' as news_keyword, news_url, tweet_url, retweet_count, favorite_count
         from v_tweets
         qualify row_number() over (partition by news_url order by favorite_count desc, tweet_id) = 1""",
+    "v_digits": """
+        select cast(greatest(0, ceil(ln(greatest(count(*), 1) / 50.0) / ln(16.0))) as bigint) as digits from v_seeds""",
     "v_flat": f"""
         select tweet_id, created_at, strftime(ts, '%Y-%m-%d') as day, cast(hour(ts) as integer) as hour, lang,
                retweet_count + shift as retweet_count, favorite_count + shift as favorite_count, text,
@@ -275,7 +277,7 @@ BODIES = {
     "text_union": """
         select doc_id, 'title' as field, split_part(text, '.', 1) as line from documents
         union all select doc_id, 'description', source from documents
-        union all select doc_id, 'content', split_part(text, '.', 2) from documents""",
+        union all select doc_id, 'content', text from documents""",
     "keyword_mining": """
         select distinct g.phrase as keyword
         from (select ' ' || array_to_string(regexp_extract_all(lower(title), '[a-z]+'), ' ') || ' ' as padded from v_titles) t
@@ -291,6 +293,7 @@ BODIES = {
         select tweet_id, news_keyword, retweet_count, favorite_count, tweet_url, news_url
         from v_flat join v_phrase_hits using (tweet_id)
         where lang = 'en' and has_link and favorite_count >= 1000 and {_article_link('news_url')}""",
+    "skewed_lookup": "select tweet_id, page_id, news_url from v_tweets",
     "url_exclusion": f"select page_id, url from pages where {_article_link('url', 'example.org')}",
     "engagement_threshold": "select tweet_id, favorite_count from v_tweets where favorite_count >= 1000",
     "pair_dedup": """
@@ -305,13 +308,13 @@ BODIES = {
         from v_hits
         qualify row_number() over (partition by news_url order by favorite_count desc, tweet_id, news_keyword) = 1""",
     "record_encode": """
-        select left(news_id, 1) as key, string_agg(news_id || ',' || news_keyword || ',' || news_url || ',' || tweet_url || ',' ||
+        select left(news_id, digits) as key, string_agg(news_id || ',' || news_keyword || ',' || news_url || ',' || tweet_url || ',' ||
                cast(retweet_count as varchar) || ',' || cast(favorite_count as varchar), ';' order by news_id) as value
-        from v_seeds group by left(news_id, 1)""",
+        from v_seeds, v_digits group by all""",
     "record_decode": "select * from v_seeds",
     "record_quarantine": """
-        select left(news_id, 1) as key, unnest(['short,record', 'n,k,u,t,x,1']) as record
-        from v_seeds group by left(news_id, 1)""",
+        select key, unnest(['short,record', 'n,k,u,t,x,1']) as record
+        from (select distinct left(news_id, digits) as key from v_seeds, v_digits)""",
     "json_payload": "select news_id as key, news_keyword, tweet_url, retweet_count, favorite_count from v_seeds",
     "json_parse": "select event_id, cast(json_extract(props, '$.k') as bigint) as k from events",
     "letter_tokens": """
@@ -428,7 +431,8 @@ BODIES = {
         union all select 'vectors', token, cast(len(embedding) as varchar) from v_vocab join embeddings on vec_id = idx - 1
         union all select 'json', cast(doc_id as varchar), cast(length(text) as varchar) from documents
         union all select 'day', cast(event_id as varchar), event_type from events
-                  where cast(ts as date) = (select min(cast(ts as date)) from events)""",
+                  where cast(ts as date) = (select min(cast(ts as date)) from events)
+        union all select 'days', cast(event_id as varchar), strftime(cast(ts as date), '%Y-%m-%d') from events""",
 }
 
 

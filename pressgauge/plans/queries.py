@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pressgauge import schemas
 from pressgauge.functions import counts, text as text_fn
 from pressgauge.operators import (
-    articles, credibility, engagement, features, keywords, pooling, quality, records, sentiment, tokens, tweets,
+    articles, credibility, engagement, features, joins, keywords, pooling, quality, records, sentiment, tokens, tweets,
 )
 from pressgauge.plans import daily
 from pressgauge.plans.fixtures import SENTENCES, VOCABULARY, WIDTH, WORDS, Inputs
@@ -158,7 +160,7 @@ def language_filter(i: Inputs) -> DataFrame:
 def text_union(i: Inputs) -> DataFrame:
     rows = i.table("documents").select(
         "doc_id", F.substring_index("text", ".", 1).alias("title"), F.col("source").alias("description"),
-        F.split_part("text", F.lit("."), F.lit(2)).alias("content"),
+        F.col("text").alias("content"),
     )
     return keywords.headline_texts(rows)
 
@@ -193,6 +195,13 @@ def tweet_hits(i: Inputs) -> DataFrame:
     return tweets.find_hits(tweets.flatten_tweets(i.tweet_json()), i.keywords(), small=True)
 
 
+@register
+def skewed_lookup(i: Inputs) -> DataFrame:
+    """Posts, a third of them on one page, looked up in a page table that is not broadcast."""
+    found = joins.lookup(i.posts(), i.links(), "page_id", small=False, spread=8)
+    return found.select("tweet_id", "page_id", "news_url")
+
+
 @register
 def url_exclusion(i: Inputs) -> DataFrame:
     return tweets.keep_article_links(i.table("pages"), "url", (*tweets.EXCLUDED_HOSTS, "example.org")).select("page_id", "url")
@@ -229,19 +238,19 @@ def seed_table(i: Inputs) -> DataFrame:
 
 @register
 def record_encode(i: Inputs) -> DataFrame:
-    return records.encode_messages(i.seeds(), key_length=1)
+    return records.encode_messages(i.seeds(), rows_per_message=50)
 
 
 @register
 def record_decode(i: Inputs) -> DataFrame:
-    messages = records.encode_messages(i.seeds(), key_length=1).select("value")
+    messages = records.encode_messages(i.seeds(), rows_per_message=50).select("value")
     return records.decode_records(messages)[0]
 
 
 @register
 def record_quarantine(i: Inputs) -> DataFrame:
     """Seeds followed by a short record and one with a bad number, per message."""
-    messages = records.encode_messages(i.seeds(), key_length=1)
+    messages = records.encode_messages(i.seeds(), rows_per_message=50)
     broken = messages.select("key", F.concat("value", F.lit(";short,record;n,k,u,t,x,1")).alias("value"))
     return records.decode_records(broken)[1]
 
@@ -483,27 +492,34 @@ def fold_assign(i: Inputs) -> DataFrame:
     return features.with_folds(i.table("documents").select("doc_id"), "doc_id", hashed=False)
 
 
+def _word_lists(i: Inputs) -> DataFrame:
+    return i.table("documents").select("doc_id", text_fn.letter_tokens(F.col("text")).alias("tokens"))
+
+
 def _labelled(i: Inputs) -> DataFrame:
-    docs = i.table("documents").select("doc_id", text_fn.letter_tokens(F.col("text")).alias("tokens"))
-    joined = features.join_labels(docs, i.table("labels"), "doc_id", "quality")
+    joined = features.join_labels(_word_lists(i), i.table("labels"), "doc_id", "quality")
     return features.with_folds(joined.select("doc_id", "tokens", (1 - F.col("quality")).alias("label")), "doc_id")
 
 
 @register
 def credibility_train(i: Inputs) -> DataFrame:
-    """Train on four folds, report on the fifth."""
+    """For each of five folds: train on the other four, report on the one left out."""
     docs = sink.stored(_labelled(i), "labelled")
-    training, test = features.split_fold(docs, 0)
-    model = credibility.train(training)
-    scored = credibility.predict(model, test, ["doc_id", "label"])
-    return credibility.accuracy_and_loss(scored, "label", F.col("prediction"), F.col("probability"))
+
+    def report(fold: int) -> DataFrame:
+        training, test = features.split_fold(docs, fold)
+        scored = credibility.predict(credibility.train(training), test, ["doc_id", "label"])
+        found = credibility.accuracy_and_loss(scored, "label", F.col("prediction"), F.col("probability"))
+        return found.select(F.lit(fold).alias("fold"), "*")
+
+    return functools.reduce(DataFrame.unionByName, map(report, range(5)))
 
 
 @register
 def credibility_score(i: Inputs) -> DataFrame:
-    """Verdict for every labelled document."""
-    docs = sink.stored(_labelled(i), "labelled")
-    return credibility.predict(credibility.train(docs), docs, ["doc_id", "label"])
+    """Verdict for every document, by a model fitted on the labelled ones."""
+    model = credibility.train(sink.stored(_labelled(i), "labelled"))
+    return credibility.predict(model, _word_lists(i), ["doc_id"])
 
 
 @register
@@ -590,8 +606,10 @@ def stream_upsert(i: Inputs) -> DataFrame:
     session = _streaming_session(i.spark)
     slices, path = fresh_dir(i.spark, "slices"), fresh_dir(i.spark, "upsert")
     events = session.read.parquet(f"{i.folder}/events.parquet")
-    events.repartition(3, "event_id").write.parquet(slices)
-    stream = read_files_as_topic(session, slices, events.schema, files_per_trigger=1)
+    events.withColumn("slice", F.pmod(F.xxhash64("event_id"), F.lit(3))).write.partitionBy("slice").parquet(slices)
+    files = len(session.read.parquet(slices).inputFiles())
+    stream = read_files_as_topic(session, slices, events.schema, files_per_trigger=math.ceil(files / 3))
+    stream = stream.select(*events.columns)
 
     def newest(batch: DataFrame) -> DataFrame:
         return tweets.first_per_key(batch, ["user_id"], F.desc("ts"), F.desc("event_id"))
@@ -671,6 +689,7 @@ def source_roundtrip(i: Inputs) -> DataFrame:
     vectors = source.read_vectors(spark, f"{base}/vectors")
     json = source.read_headlines(spark, f"{base}/json", arrays=False)
     day = source.read_day(spark, f"{base}/days", str(first_day))
+    days = spark.read.parquet(f"{base}/days")
     return (
         rows("lines", lines, F.col("line"), F.col("n"))
         .unionByName(rows("csv", csv, F.col("news_id"), F.col("favorite_count")))
@@ -678,4 +697,5 @@ def source_roundtrip(i: Inputs) -> DataFrame:
         .unionByName(rows("vectors", vectors, F.col("token"), F.size("vector")))
         .unionByName(rows("json", json, F.col("url"), F.length("content")))
         .unionByName(rows("day", day, F.col("event_id"), F.col("event_type")))
+        .unionByName(rows("days", days, F.col("event_id"), F.col("day")))
     )

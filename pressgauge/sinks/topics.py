@@ -14,7 +14,7 @@ def write_topic(messages: DataFrame, servers: str, topic: str) -> None:
 
 
 def publish_seeds(
-    seeds: DataFrame, servers: str, social_topic: str, news_topic: str, *, delimited: bool = False, key_length: int = 2
+    seeds: DataFrame, servers: str, social_topic: str, news_topic: str, *, delimited: bool = False, key_length: int | None = None
 ) -> None:
     """Publish seeds: all fields to the social topic, id and address to the news topic.
 

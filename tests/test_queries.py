@@ -7,6 +7,8 @@ import pytest
 
 import __spark_entry__ as driver
 from conftest import SMALL
+from pressgauge.plans.oracles import ORACLES
+from pressgauge.plans.queries import QUERIES
 
 TABLES = "documents pages conversations labels embeddings events benchmark".split()
 # The classifier's predictions have no SQL counterpart.
@@ -35,7 +37,8 @@ def normal(columns, rows):
 
 
 def test_every_query_has_a_counterpart():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
@@ -81,5 +84,15 @@ def test_scan_reads_only_what_is_used(spark):
     assert "ReadSchema: struct<text:string,lang:string>" in text and "EqualTo(lang,en)" in text
 
 
+def test_hot_keys_are_salted_where_the_table_is_not_broadcast(spark):
+    text = plan(spark, "skewed_lookup")
+    assert "_salt" in text and "NestedLoop" not in text
+
+
+def test_classifier_judges_every_document(spark):
+    assert driver.queries()["credibility_score"](spark, SMALL).count() == spark.read.parquet(f"{SMALL}/documents.parquet").count()
+    assert sorted(r.fold for r in driver.queries()["credibility_train"](spark, SMALL).collect()) == [0, 1, 2, 3, 4]
+
+
 def test_words_are_shuffled_once(spark):
     assert plan(spark, "doc_index_matrix").count("Exchange hashpartitioning(doc_id") == 1
