@@ -435,6 +435,8 @@ BODIES = {
         union all select 'days', cast(event_id as varchar), strftime(cast(ts as date), '%Y-%m-%d') from events""",
 }
 
+BODIES["stream_social"] = BODIES["social_results"]
+
 
 def _needed(sql: str) -> list[str]:
     """Views a statement uses, dependencies first."""

@@ -115,7 +115,10 @@ def comment_explode_outer(i: Inputs) -> DataFrame:
 @register
 def social_results(i: Inputs) -> DataFrame:
     """The whole social side for all seeds."""
-    rows = daily.social_results(i.seeds(), i.thread_comments(), i.social_tables())
+    return _social_rows(daily.social_results(i.seeds(), i.thread_comments(), i.social_tables()))
+
+
+def _social_rows(rows: DataFrame) -> DataFrame:
     return rows.select(
         "news_id", "part", "favorite_count", F.size("tweets_comment").alias("n_comments"),
         "tweets_tokens", _join(F.transform("sentiment_scores", lambda s: F.format_number(s, 4)), ",").alias("scores"),
@@ -642,6 +645,33 @@ def stream_two_sides(i: Inputs) -> DataFrame:
     return documents.read_documents(i.spark, path).select("news_id", "favorite_count", "n_chars", "date")
 
 
+@register
+def stream_social(i: Inputs) -> DataFrame:
+    """The social side kept current: comments and seeds arrive in parts, with outdated counts before and after the current ones."""
+    session = _streaming_session(i.spark)
+    inputs = Inputs(session, i.folder)
+    seed_path, comment_path = fresh_dir(i.spark, "seeds"), fresh_dir(i.spark, "comments")
+
+    def feed(rows: DataFrame, label: str, time: str, count: str, odd: Column) -> DataFrame:
+        old = rows.withColumn(count, F.col(count) + 5)
+        slices = fresh_dir(i.spark, label)
+        for hours, part in ((-1, old.where(odd)), (0, rows), (-2, old)):
+            moved = part.withColumn(time, F.col(time) + F.expr(f"interval {hours} hours"))
+            moved.write.mode("append").parquet(slices)
+        files = len(session.read.parquet(slices).inputFiles())
+        return read_files_as_topic(session, slices, session.read.parquet(slices).schema, files_per_trigger=math.ceil(files / 3))
+
+    seeds = i.seeds().select(*schemas.SEED.fieldNames(), F.lit("2024-01-01").cast("timestamp").alias("timestamp"))
+    asked = feed(seeds, "seed-feed", "timestamp", "favorite_count", F.col("tweet_url").endswith("1"))
+    jobs.run_to_end(jobs.seed_table_stream(asked, seed_path, f"{seed_path}-check", available_now=True))
+    comments = i.thread_comments().withColumn("event_time", F.to_timestamp("comment_time"))
+    said = feed(comments, "comment-feed", "event_time", "like_count", F.col("position") % 2 == 1)
+    jobs.run_to_end(jobs.comment_table_stream(
+        said, inputs.social_tables(), comment_path, f"{comment_path}-check", available_now=True
+    ))
+    return _social_rows(jobs.current_social(i.spark, seed_path, comment_path))
+
+
 @register
 def stream_articles(i: Inputs) -> DataFrame:
     """Pages asked for twice by a stream; their articles extracted, enriched and stored once."""

@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from pressgauge.functions import text as text_fn
-from pressgauge.operators import articles, credibility, records, sentiment, social
+from pressgauge.operators import articles, credibility, engagement, records, sentiment, social, tweets
 from pressgauge.sinks import documents
+from pressgauge.sinks.files import stored
 from pressgauge.sinks.topics import stream_writer
 from pressgauge.streaming import state
 
@@ -77,6 +78,45 @@ def social_stream(
     )
 
 
+def seed_table_stream(seeds: DataFrame, path: str, checkpoint: str, *, event_time: str = "timestamp", **how) -> StreamingQuery:
+    """Keep the newest state of every seed per (news_id, tweet_url)."""
+    keys = ["news_id", "tweet_url"]
+    columns = [*social.SEED_FIELDS, event_time]
+    return upsert_stream(
+        seeds.select(*columns), path, checkpoint, mode="append", modified=F.col(event_time),
+        transform=lambda batch: _newest(batch, keys, event_time), **how,
+    )
+
+
+def comment_table_stream(
+    comments: DataFrame, tables: dict[str, DataFrame], path: str, checkpoint: str, *, event_time: str = "event_time", **how
+) -> StreamingQuery:
+    """Keep the newest state of every comment, scored, per (tweet_url, position).
+
+    There is no watermark and no state: a resent comment replaces its former counts, and a late one
+    takes its place by its own time, so that none is lost.
+    """
+    keys = ["tweet_url", "position"]
+
+    def scored(batch: DataFrame) -> DataFrame:
+        newest = _newest(batch, keys, event_time)
+        return newest.join(social.annotate(newest.select(*keys, "comment"), keys, **tables), keys)
+
+    return upsert_stream(comments, path, checkpoint, mode="append", modified=F.col(event_time), transform=scored, **how)
+
+
+def _newest(batch: DataFrame, keys: Sequence[str], event_time: str) -> DataFrame:
+    others = [F.desc(c) for c in batch.columns if c not in (*keys, event_time)]
+    return tweets.first_per_key(batch, keys, F.desc(event_time), *others)
+
+
+def current_social(spark: SparkSession, seeds: str, comments: str) -> DataFrame:
+    """Social results from the tables of the two streams above, as they stand now."""
+    asked = documents.read_documents(spark, seeds, ["news_id", "tweet_url"]).select(*social.SEED_FIELDS)
+    said = documents.read_documents(spark, comments, ["tweet_url", "position"]).where("n_lemmas > 0")
+    return social.roll_up(stored(engagement.attach_comments(asked, said), "current"))
+
+
 def article_stream(
     seeds: DataFrame, pages: DataFrame, tables: dict[str, DataFrame], path: str, checkpoint: str,
     *, model: PipelineModel | None = None, event_time: str = "timestamp", delay: str = DAY, **how,

@@ -154,3 +154,31 @@ def test_interval_and_console(spark, tmp_path):
     paced.processAllAvailable()
     paced.stop()
     assert spark.table("paced").count() == 3
+
+
+def test_social_tables_take_up_new_comments_changed_counts_and_late_rows(spark, tmp_path):
+    base = str(tmp_path)
+    seed = "news_id string, news_keyword string, retweet_count long, favorite_count long, news_url string, tweet_url string, timestamp timestamp"
+    comment = "tweet_url string, position long, comment string, like_count long, comment_time string, event_time timestamp"
+    batches = [
+        ([("n", "k", 1, 1000, "u", "t", at(0))], [("t", 0, "good", 3, "x", at(0)), ("t", 1, "bad", 1, "y", at(1))]),
+        # Days later a new count, and a comment that was on its way for all that time.
+        ([("n", "k", 2, 2000, "u", "t", at(9000))], [("t", 0, "good", 7, "x", at(9000)), ("t", 2, "bad bad", 2, "z", at(2))]),
+        # Older states that arrive last change nothing.
+        ([("n", "k", 1, 1500, "u", "t", at(5))], [("t", 0, "good", 4, "x", at(5))]),
+    ]
+    words = {**tables(spark), "speech": spark.createDataFrame([("good", "a")], "token string, pos string"), "lemmas": spark.createDataFrame([("good", "good"), ("bad", "bad")], "token string, lemma string")}
+    for number, (seeds, said) in enumerate(batches):
+        spark.createDataFrame(seeds, seed).coalesce(1).write.parquet(f"{base}/s/f{number}")
+        spark.createDataFrame(said, comment).coalesce(1).write.parquet(f"{base}/c/f{number}")
+        jobs.run_to_end(jobs.seed_table_stream(
+            read_files_as_topic(spark, f"{base}/s/*", spark.read.parquet(f"{base}/s/*").schema), f"{base}/seeds", f"{base}/k1", available_now=True))
+        jobs.run_to_end(jobs.comment_table_stream(
+            read_files_as_topic(spark, f"{base}/c/*", spark.read.parquet(f"{base}/c/*").schema), words, f"{base}/said", f"{base}/k2", available_now=True))
+        row = jobs.current_social(spark, f"{base}/seeds", f"{base}/said").collect()
+        assert len(row) == 1
+        if number == 0:
+            assert (row[0].favorite_count, row[0].like_counts) == (1000, [3, 1])
+        else:
+            assert (row[0].favorite_count, row[0].retweet_count, row[0].like_counts) == (2000, 2, [7, 1, 2])
+            assert row[0].tweets_comment == ["good", "bad", "bad bad"]
