@@ -181,6 +181,10 @@ class Inputs:
             .select("token", "vector")
 
     def tweet_json(self) -> DataFrame:
+        """Raw tweet objects."""
+        return self.tweet_lines().select(F.from_json("value", schemas.TWEET).alias("t")).select("t.*")
+
+    def tweet_lines(self) -> DataFrame:
         """Raw tweet objects as JSON text; every third one is a retweet."""
         t = self.tweets()
         n = F.col("tweet_id")
@@ -203,8 +207,7 @@ class Inputs:
             n % 3 == 0,
             F.when(n % 2 == 0, F.struct(*body(1000, "#inner", True))).otherwise(F.struct(*body(1000, "#inner", False))),
         )
-        raw = t.select(F.to_json(F.struct(*body(0, "", True), inner.alias("retweeted_status"))).alias("value"))
-        return raw.select(F.from_json("value", schemas.TWEET).alias("t")).select("t.*")
+        return t.select(F.to_json(F.struct(*body(0, "", True), inner.alias("retweeted_status"))).alias("value"))
 
     def social_tables(self) -> dict:
         return {

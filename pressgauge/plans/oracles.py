@@ -436,6 +436,12 @@ BODIES = {
 }
 
 BODIES["stream_social"] = BODIES["social_results"]
+BODIES["tweet_files"] = BODIES["tweet_flatten"]
+BODIES["stream_messages"] = """
+    select news_id, news_title, length(news_text) as n from v_seeds left join v_body on url = news_url
+    union all select record, 'quarantined', count(*)
+    from (select unnest(['short,record', 'n,k,u,t,x,1']) as record from (select distinct left(news_id, digits) from v_seeds, v_digits))
+    group by record"""
 
 
 def _needed(sql: str) -> list[str]:

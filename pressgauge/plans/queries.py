@@ -192,6 +192,14 @@ def tweet_flatten(i: Inputs) -> DataFrame:
     return tweets.flatten_tweets(i.tweet_json())
 
 
+@register
+def tweet_files(i: Inputs) -> DataFrame:
+    """Tweets written as JSON lines, read back and flattened."""
+    path = fresh_dir(i.spark, "tweets")
+    sink.write_lines(i.tweet_lines(), path, "value")
+    return tweets.flatten_tweets(source.read_tweets(i.spark, path))
+
+
 @register
 def tweet_hits(i: Inputs) -> DataFrame:
     """Raw tweets and keywords to hits: language, link, threshold, host and keyword filters."""
@@ -672,6 +680,27 @@ def stream_social(i: Inputs) -> DataFrame:
     return _social_rows(jobs.current_social(i.spark, seed_path, comment_path))
 
 
+@register
+def stream_messages(i: Inputs) -> DataFrame:
+    """Seed messages with two broken records each, as a stream, to article messages and a quarantine."""
+    session = _streaming_session(i.spark)
+    sent, out = fresh_dir(i.spark, "sent"), fresh_dir(i.spark, "articles-out")
+    broken = fresh_dir(i.spark, "quarantine")
+    messages = records.encode_messages(i.seeds(), rows_per_message=50)
+    messages.select("key", F.concat("value", F.lit(";short,record;n,k,u,t,x,1")).alias("value")).write.parquet(sent)
+    stream = read_files_as_topic(session, sent, session.read.parquet(sent).schema)
+    jobs.run_to_end(jobs.message_stream(
+        stream, Inputs(session, i.folder).table("pages"), lambda rows, batch: rows.write.mode("overwrite").parquet(f"{out}/batch={batch}"),
+        broken, f"{out}-check", available_now=True,
+    ))
+    schema = schemas._struct(("news_id", schemas.STRING), ("news_title", schemas.STRING), ("news_text", schemas.STRING))
+    found = records.parse_payload(i.spark.read.parquet(out).select("value"), schema)
+    bad = i.spark.read.parquet(broken).groupBy("record").agg(F.count(F.lit(1)).alias("n"))
+    return found.select("news_id", "news_title", F.length("news_text").cast("bigint").alias("n")).unionByName(
+        bad.select(F.col("record").alias("news_id"), F.lit("quarantined").alias("news_title"), "n")
+    )
+
+
 @register
 def stream_articles(i: Inputs) -> DataFrame:
     """Pages asked for twice by a stream; their articles extracted, enriched and stored once."""

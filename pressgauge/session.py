@@ -39,6 +39,17 @@ def shared_dir(spark: SparkSession) -> str:
     return tempfile.gettempdir()
 
 
+def work_dir(spark: SparkSession) -> str:
+    """The folder under the shared one that holds everything this application keeps for itself."""
+    return os.path.join(shared_dir(spark), f"pressgauge-{spark.sparkContext.applicationId}")
+
+
 def fresh_dir(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder, unused by any other run."""
-    return os.path.join(shared_dir(spark), f"pressgauge-{label}-{uuid.uuid4().hex}")
+    """A new path under the application's work folder, unused by any other run."""
+    return os.path.join(work_dir(spark), f"{label}-{uuid.uuid4().hex}")
+
+
+def clear_work(spark: SparkSession) -> None:
+    """Remove the application's work folder; frames that still read from it must have been written elsewhere."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(work_dir(spark))
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

@@ -137,6 +137,27 @@ def article_stream(
     )
 
 
+def message_stream(
+    messages: DataFrame, pages: DataFrame, publish: Callable[[DataFrame, int], None], quarantine: str, checkpoint: str,
+    *, small: bool | None = None, **how,
+) -> StreamingQuery:
+    """Delimited seed messages to article messages: decoded, their pages fetched, sent on as JSON by key.
+
+    ``publish`` gets the (key, value) rows and the batch id, and may see a batch again after a failure.
+    Unreadable records are kept in the table ``quarantine``.
+    """
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        good, bad = records.decode_records(batch.select("value"))
+        try:
+            documents.upsert(bad, quarantine, batch_id)
+            publish(records.json_payload(articles.fetch(good, pages, small=small)), batch_id)
+        finally:
+            batch.unpersist()
+
+    return stream_writer(messages, checkpoint, "append", **how).foreachBatch(write).start()
+
+
 def run_to_end(query: StreamingQuery) -> None:
     """Wait for a query started with ``available_now``; its failure is raised here."""
     query.awaitTermination()

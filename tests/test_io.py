@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pressgauge import schemas
 from pressgauge.functions import text as text_fn
 from pressgauge.operators import features
-from pressgauge.session import fresh_dir, shared_dir
+from pressgauge.session import fresh_dir, shared_dir, work_dir
 from pressgauge.sinks import documents, files as sink, topics as topic_sink
 from pressgauge.sources import files as source, topics
 
@@ -78,7 +78,8 @@ def test_append(spark, tmp_path):
 
 
 def test_stored_and_shared_folder(spark):
-    assert fresh_dir(spark, "x").startswith(shared_dir(spark)) and fresh_dir(spark, "x") != fresh_dir(spark, "x")
+    assert work_dir(spark).startswith(shared_dir(spark))
+    assert fresh_dir(spark, "x").startswith(work_dir(spark)) and fresh_dir(spark, "x") != fresh_dir(spark, "x")
     assert sorted(r.id for r in sink.stored(spark.range(3), "t").collect()) == [0, 1, 2]
 
 
