@@ -109,7 +109,7 @@ VIEWS = {
         from v_tweets
         qualify row_number() over (partition by news_url order by favorite_count desc, tweet_id) = 1""",
     "v_digits": """
-        select cast(greatest(0, ceil(ln(greatest(count(*), 1) / 50.0) / ln(16.0))) as bigint) as digits from v_seeds""",
+        select cast(greatest(0, ceil(ln(greatest(count(*), 1) / 10.0) / ln(16.0))) as bigint) as digits from v_seeds""",
     "v_flat": f"""
         select tweet_id, created_at, strftime(ts, '%Y-%m-%d') as day, cast(hour(ts) as integer) as hour, lang,
                retweet_count + shift as retweet_count, favorite_count + shift as favorite_count, text,

@@ -249,19 +249,19 @@ def seed_table(i: Inputs) -> DataFrame:
 
 @register
 def record_encode(i: Inputs) -> DataFrame:
-    return records.encode_messages(i.seeds(), rows_per_message=50)
+    return records.encode_messages(i.seeds(), rows_per_message=10)
 
 
 @register
 def record_decode(i: Inputs) -> DataFrame:
-    messages = records.encode_messages(i.seeds(), rows_per_message=50).select("value")
+    messages = records.encode_messages(i.seeds(), rows_per_message=10).select("value")
     return records.decode_records(messages)[0]
 
 
 @register
 def record_quarantine(i: Inputs) -> DataFrame:
     """Seeds followed by a short record and one with a bad number, per message."""
-    messages = records.encode_messages(i.seeds(), rows_per_message=50)
+    messages = records.encode_messages(i.seeds(), rows_per_message=10)
     broken = messages.select("key", F.concat("value", F.lit(";short,record;n,k,u,t,x,1")).alias("value"))
     return records.decode_records(broken)[1]
 
@@ -686,7 +686,7 @@ def stream_messages(i: Inputs) -> DataFrame:
     session = _streaming_session(i.spark)
     sent, out = fresh_dir(i.spark, "sent"), fresh_dir(i.spark, "articles-out")
     broken = fresh_dir(i.spark, "quarantine")
-    messages = records.encode_messages(i.seeds(), rows_per_message=50)
+    messages = records.encode_messages(i.seeds(), rows_per_message=10)
     messages.select("key", F.concat("value", F.lit(";short,record;n,k,u,t,x,1")).alias("value")).write.parquet(sent)
     stream = read_files_as_topic(session, sent, session.read.parquet(sent).schema)
     jobs.run_to_end(jobs.message_stream(

@@ -25,11 +25,6 @@ _TWEET_FIELDS = (
 )
 TWEET = _struct(*_TWEET_FIELDS, ("retweeted_status", _struct(*_TWEET_FIELDS)))
 
-HIT = _struct(
-    ("tweet_id", LONG), ("news_keyword", STRING), ("retweet_count", LONG),
-    ("favorite_count", LONG), ("tweet_url", STRING), ("news_url", STRING),
-)
-
 SEED = T.StructType([
     T.StructField("news_id", STRING, False),
     T.StructField("news_keyword", STRING, False),
@@ -39,29 +34,11 @@ SEED = T.StructType([
     T.StructField("favorite_count", LONG, False),
 ])
 
-COMMENT = _struct(
-    ("tweet_url", STRING), ("position", LONG), ("like_str", STRING),
-    ("comment_time", STRING), ("comment", STRING),
-)
-
 THREAD = _struct(
     ("tweet_url", STRING),
     ("nodes", T.ArrayType(_struct(("like_str", STRING), ("comment_time", STRING), ("comment", STRING)))),
 )
 
-SOCIAL_RESULT = _struct(
-    ("news_id", STRING), ("news_keyword", STRING), ("retweet_count", LONG),
-    ("favorite_count", LONG), ("news_url", STRING), ("tweet_url", STRING), ("part", LONG),
-    ("tweets_comment", T.ArrayType(STRING)), ("tweets_tokens", STRING),
-    ("sentiment_scores", T.ArrayType(DOUBLE)), ("like_counts", T.ArrayType(LONG)),
-    ("comment_time", STRING), ("weighted_sentiment_score", DOUBLE),
-)
-
-ARTICLE_RESULT = _struct(
-    ("news_id", STRING), ("news_title", STRING), ("news_text", STRING), ("news_image", STRING),
-    ("news_tokens", STRING), ("sentiment_scores", T.ArrayType(DOUBLE)),
-)
-
 CLAIM = _struct(("snopes_page", STRING), ("claim_label", T.BooleanType()))
 
 VECTOR = _struct(("token", STRING), ("vector", T.ArrayType(T.FloatType())))
