@@ -4,7 +4,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from pressgauge import schemas
+from pressgauge import schemas, session
 from pressgauge.functions import text as text_fn
 from pressgauge.operators import features
 from pressgauge.session import fresh_dir, shared_dir, work_dir
@@ -175,3 +175,13 @@ def test_merge_is_full_outer(spark, rows):
 def test_strip_newline(spark):
     df = spark.createDataFrame([("a\n",)], "t string")
     assert df.select(text_fn.strip_newline(F.col("t"))).first()[0] == "a"
+
+
+def test_clear_work_removes_only_the_own_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
+    (tmp_path / "other").mkdir()
+    assert sink.stored(spark.range(3), "x").count() == 3
+    assert len(list(tmp_path.iterdir())) == 2
+    session.clear_work(spark)
+    session.clear_work(spark)
+    assert [p.name for p in tmp_path.iterdir()] == ["other"]
