@@ -5,8 +5,8 @@ classes). Per path the text and punctuation of all its blocks are added up and d
 both ratios are smoothed over the blocks in page order by a Gaussian, fused by multiplication, averaged per path
 again, and paths at or above ``LAMBDA`` standard deviations are content. Paths that the markup itself
 names as menu, header, footer, sidebar, notice, advert, form or comments are left out before that. The
-result is what stands in the articles (or else the parents) that hold content paths: headings and short
-lines of an article stay, whatever their ratio.
+result is what stands in the articles, or else in the parents, that hold content paths, whichever the parent or article with
+the largest sum of ratios is: headings and short lines stay, whatever their ratio, and so do lists, tables and quotes inside.
 
 Every page is handled whole in the task that reads it. Edge cases: null or empty html, and pages
 without content, give an empty text; unclosed elements end with their parents or the page; repeated
@@ -86,6 +86,7 @@ class Page:
 
 
 ARTICLE = frozenset(["article", "main"])
+NESTED = frozenset("ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote figure figcaption pre details summary".split())
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6", "hgroup"])
 
 
@@ -207,16 +208,22 @@ def main_text(source: str) -> str:
     weight: dict[int, float] = {}
     holders = []
     for i in blocks:
-        element, text = page.blocks[i]
+        element, _ = page.blocks[i]
         holder = page.inside(element, ARTICLE)
         if holder < 0:
             holder = page.parent[element] if page.tag[element] not in ("div", "section", "td", "body") else element
         holders.append(holder)
         if page.path[element] in content:
-            weight[holder] = weight.get(holder, 0) + len(text)
-    articles = {h for h in weight if page.tag[h] in ARTICLE}
-    kept = articles or set(weight)
-    return "\n\n".join(page.blocks[i][1] for i, holder in zip(blocks, holders) if holder in kept)
+            weight[holder] = weight.get(holder, 0) + content[page.path[element]]
+    in_article = page.tag[max(weight, key=weight.__getitem__)] in ARTICLE
+    kept = {h for h in weight if (page.tag[h] in ARTICLE) == in_article}
+
+    def holds(holder: int) -> bool:
+        while holder not in kept and page.tag[holder] in NESTED:
+            holder = page.parent[holder]
+        return holder in kept
+
+    return "\n\n".join(page.blocks[i][1] for i, holder in zip(blocks, holders) if holds(holder))
 
 
 def extract(pages: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:

@@ -24,6 +24,34 @@ def test_page_without_article_element():
     assert html_text.main_text(page).split("\n\n") == ["Head", LONG, f"{LONG} {LONG}", "Tail."]
 
 
+def paragraphs(count, size=500, marks=5):
+    """Paragraphs of so many characters, with so many punctuation marks, each begun by its number."""
+    words = [f"{i} " + "word " * (size // 5) for i in range(count)]
+    return [w[: size - marks].rstrip().ljust(size - marks, "x") + "." * marks for w in words]
+
+
+def test_body_beside_article_teasers():
+    body, teaser = paragraphs(5), "t" * 149 + "."
+    inside = "".join(f"<p>{p}</p>" for p in body)
+    for count in (1, 2):
+        teasers = f"<article class='teaser'><p>{teaser}</p></article>" * count
+        for tag in ("div", "section"):
+            page = f"<body><{tag}>{inside}</{tag}>{teasers}</body>"
+            assert html_text.main_text(page).split("\n\n") == body
+    page = f"<body><div><p>{teaser}</p></div><article>{inside}</article></body>"
+    assert html_text.main_text(page).split("\n\n") == body
+
+
+def test_lists_tables_and_quotes_inside_the_body():
+    a, b, c = paragraphs(3)
+    items = [f"item {i} of thirty characters" for i in range(10)]
+    listed = "<ul>" + "".join(f"<li>{x}" for x in items) + "</ul>"
+    table = "<table><tr><td>one<td>two<tr><td><ul><li>three</ul></table>"
+    page = f"""<body><div class="links"><ul><li>x<li>y</ul></div><div>
+    <p>{a}</p>{listed}<p>{b}</p>{table}<blockquote><p>Said.</p></blockquote><dl><dt>term<dd>sense</dl><p>{c}</p></div></body>"""
+    assert html_text.main_text(page).split("\n\n") == [a, *items, b, "one", "two", "three", "Said.", "term", "sense", c]
+
+
 def test_broken_markup_never_fails():
     pieces = ["<p>", "</p", "<div class='a", "<!--", "text, ", "<script>", "</script>", "<", "&amp", "<b", "</table>", '<a href="', "<td>", "\x00", "]]>"]
     for i in range(len(pieces) ** 2):
