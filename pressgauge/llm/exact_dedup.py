@@ -15,7 +15,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pressgauge.llm.common import SPACES, join_unique, text_or_empty
+from pressgauge.llm.common import SPACES, free_name, join_unique, text_or_empty
 from pressgauge.session import fresh_dir
 from pressgauge.sinks.files import stored
 
@@ -94,5 +94,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents without the later copies, all columns unchanged."""
-    dropped = deduplicate(docs, id_col, text_col).where(~F.col("kept") & F.col("doc_id").isNotNull()).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(dropped, id_col, "left_anti")
+    own = F.when(F.col(id_col).isNull(), F.sha2(normalised(text_col), 256)).otherwise(F.lit(""))
+    found = deduplicate(docs, id_col, text_col).where(~F.col("kept"))
+    none = F.col("doc_id").isNull()
+    dropped = found.select(F.col("doc_id").alias("dropped_id"), F.when(none, F.col("digest")).otherwise(F.lit("")).alias("dropped_row")).distinct()
+    row = free_name(docs, "row_")
+    same = F.col(id_col).eqNullSafe(F.col("dropped_id")) & (F.col(row) == F.col("dropped_row"))
+    return docs.withColumn(row, own).join(dropped, same, "left_anti").drop(row)

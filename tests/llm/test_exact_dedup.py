@@ -51,3 +51,11 @@ def test_anti_join_reads_the_index_without_shuffling_it(spark):
     plan = index.unseen(heads)._jdf.queryExecution().toString()
     assert "SortMergeJoin" in plan and "Bucketed: true" in plan
     assert index.unseen(heads).count() == 0
+
+
+def test_copies_without_id_follow_the_decision(spark):
+    rows = [(2, "a b", 0), (None, "a  b", 1), (None, "alone", 2), (1, "a\tb", 3), (None, "a b", 4), (1, "a\tb", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row_ long")
+    kept = exact_dedup.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.row_ for r in kept.collect()) == [2, 3, 5]
