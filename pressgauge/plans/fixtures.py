@@ -17,7 +17,7 @@ from pressgauge import schemas
 from pressgauge.functions import counts
 from pressgauge.functions import text as text_fn
 from pressgauge.operators import pooling, tokens, tweets
-from pressgauge.session import fresh_dir
+from pressgauge.session import fresh_dir, ship_package
 from pressgauge.sources.files import read_table
 
 VOCABULARY = 1000
@@ -44,6 +44,7 @@ class Inputs:
     """
 
     def __init__(self, spark: SparkSession, folder: str):
+        ship_package(spark)
         self.spark = spark
         self.folder = folder
 

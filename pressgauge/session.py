@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -26,6 +27,22 @@ def build_session(app: str = "pressgauge", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the workers, once per application, so that they find it whatever folder they start in.
+
+    Nothing is sent where the package was itself submitted as a zip.
+    """
+    application, package = spark.sparkContext.applicationId, os.path.dirname(os.path.abspath(__file__))
+    if application in _SHIPPED or not os.path.isdir(package):
+        return
+    base = os.path.join(tempfile.mkdtemp(prefix="pressgauge-"), os.path.basename(package))
+    spark.sparkContext.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+    _SHIPPED.add(application)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``.
 
