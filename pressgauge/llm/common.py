@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from pressgauge.session import ship_package
+
 SPACES = r"[\x20\x09-\x0D]+"
 HOT_SHARES = 1024
 SLICE_BYTES = 2 << 20
@@ -15,7 +17,8 @@ _M = 0x9E3779B97F4A7C15 | 1
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One of the given tables."""
+    """One of the given tables; the workers get the package as well."""
+    ship_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressgauge.llm import bpe, exact_dedup, html_text, maxent, packing, simhash, spotsigs, substring, toxicity, warc
+from pressgauge.llm import bpe, collocation, exact_dedup, html_text, maxent, packing, simhash, spotsigs, substring, toxicity, warc
 from pressgauge.llm.common import table
 
 
@@ -78,6 +78,11 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_collocation(spark: SparkSession, folder: str) -> DataFrame:
+    """The best phrases of two to five words in each language."""
+    return collocation.collocations(table(spark, folder, "documents"), longest=5, least=100, top=2000)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxent": op1_maxent,
     "op2_html_text": op2_html_text,
@@ -89,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
+    "op11_collocation": op11_collocation,
 }
 
 _COPIES = r"""
@@ -141,4 +147,35 @@ select page_id, payload_bytes, payload_digest, case when page_id = first then 'r
 from named
 """
 
-ORACLES: dict[str, str] = {"op3_exact_dedup": _COPIES, "op5_substring_dedup": _PASSAGES, "op10_warc": _RECORDS}
+_PHRASES = r"""
+with pieces as (
+    select coalesce(lang, 'und') as lang, unnest(string_split_regex(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) as piece
+    from documents
+), w as (
+    select lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') as words from pieces
+), total as (
+    select lang, sum(len(words)) as n from w group by lang
+), f as (
+    select lang, phrase, k, count(*) as a from (
+        select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase
+        from (select lang, words, k, unnest(range(1, len(words) - k + 2)) as i from w, (select unnest(range(1, 6)) as k))
+    ) group by all having count(*) >= 100
+), cuts as (
+    select f.lang, f.phrase, f.k, f.a, n, x.k as cut, x.a as l, y.a as r,
+        (1000 * f.a::hugeint * n::hugeint) // (x.a::hugeint * y.a::hugeint) as score
+    from f join total using (lang) join f x on x.lang = f.lang and x.k < f.k and starts_with(f.phrase, x.phrase || ' ')
+    join f y on y.lang = f.lang and y.phrase = substr(f.phrase, length(x.phrase) + 2)
+), best as (
+    select * from cuts qualify row_number() over (partition by lang, phrase order by score, cut) = 1
+), free as (
+    select * from best b where not exists (
+        select 1 from f where f.lang = b.lang and f.k > b.k and f.a >= b.a and contains(' ' || f.phrase || ' ', ' ' || b.phrase || ' '))
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, encode(phrase)) as rank, phrase, a, l, r,
+    cast(n as bigint) as n, cast(score as bigint) as score
+from free qualify rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {
+    "op11_collocation": _PHRASES, "op3_exact_dedup": _COPIES, "op5_substring_dedup": _PASSAGES, "op10_warc": _RECORDS}
