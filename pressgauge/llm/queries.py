@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pressgauge.llm import bpe, collocation, exact_dedup, html_text, maxent, packing, simhash, spotsigs, substring, toxicity, warc
+from pressgauge.llm import (
+    ball_tree, bpe, collocation, exact_dedup, hard_negatives, html_text, maxent, packing, simhash, spotsigs, substring, toxicity, warc,
+)
 from pressgauge.llm.common import table
 
 
@@ -83,6 +85,18 @@ def op11_collocation(spark: SparkSession, folder: str) -> DataFrame:
     return collocation.collocations(table(spark, folder, "documents"), longest=5, least=100, top=2000)
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Hard negatives of every hundredth vector, a seventh of the labels being moved on by one."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings")
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0, positives=5, negatives=5, lowest=80, label=moved)
+
+
+def op13_ball_tree(spark: SparkSession, folder: str) -> DataFrame:
+    """The five highest inner products of every fiftieth vector with all others."""
+    return ball_tree.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_maxent": op1_maxent,
     "op2_html_text": op2_html_text,
@@ -95,6 +109,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
     "op11_collocation": op11_collocation,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_ball_tree": op13_ball_tree,
 }
 
 _COPIES = r"""
@@ -177,5 +193,41 @@ select lang, row_number() over (partition by lang order by score desc, a desc, e
 from free qualify rank <= 2000
 """
 
+_VECTORS = """
+with v as (
+    select vec_id, label, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+)"""
+
+_NEGATIVES = _VECTORS + """, named as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label, v from v where label is not null
+), s as (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+        cast(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) as bigint) as score
+    from named a join named b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0
+), positive as (
+    select * from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5
+)
+select p.anchor_id, p.vec_id as positive_id, cast(row_number() over w as integer) as rank, n.vec_id as negative_id,
+    p.score as positive_score, n.score as negative_score
+from positive p join s n on n.anchor_id = p.anchor_id and not n.same
+    and 80 * p.score <= 100 * n.score and 100 * n.score <= 100 * p.score
+window w as (partition by p.anchor_id, p.vec_id order by n.score desc, n.vec_id) qualify rank <= 5
+"""
+
+_NEAREST = _VECTORS + """
+select a.vec_id as query_id, cast(row_number() over w as integer) as rank, b.vec_id,
+    cast(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) as bigint) as score
+from v a join v b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0
+window w as (partition by a.vec_id order by list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) desc, b.vec_id)
+qualify rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
-    "op11_collocation": _PHRASES, "op3_exact_dedup": _COPIES, "op5_substring_dedup": _PASSAGES, "op10_warc": _RECORDS}
+    "op11_collocation": _PHRASES,
+    "op12_hard_negatives": _NEGATIVES,
+    "op13_ball_tree": _NEAREST,
+    "op3_exact_dedup": _COPIES,
+    "op5_substring_dedup": _PASSAGES,
+    "op10_warc": _RECORDS,
+}
