@@ -27,12 +27,13 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pressgauge.llm.common import byte_slices, text_or_empty
 from pressgauge.sinks.files import stored
 
 LONGEST = 5
+BITS, PACKED = 21, 3
 DICTIONARY = 1 << 20
 CHUNK_BYTES = 2 << 20
 FLUSH_WORDS = 1 << 18
@@ -97,7 +98,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
 def _frequent(words: DataFrame, least: int, dictionary: int) -> list[tuple[str, bytes]] | None:
     """(lang, word) of all frequent words by language and word; None if they are more than ``dictionary``."""
     some = words.where(F.col("n") >= least).select("lang", F.col("word").cast("binary"))
-    if some.count() > dictionary:
+    if some.count() > min(dictionary, (1 << BITS) - 1):
         return None
     return sorted((r.lang, bytes(r.word)) for r in some.collect())
 
@@ -105,13 +106,13 @@ def _frequent(words: DataFrame, least: int, dictionary: int) -> list[tuple[str,
 def windows(
     docs: DataFrame, known: list[tuple[str, bytes]] | None, longest: int = LONGEST, borders: list[tuple] = []
 ) -> DataFrame:
-    """(range, w1, ..., c): the windows of two words and more, counted within each chunk; null pads them.
+    """(range, columns, c): the windows of two words and more, counted within each chunk.
 
-    Words are their numbers in ``known``, from 1; the first one stands for its language as well. Without
-    it they are spelled out, the first one after its language and a space. A window's range is the number
-    of ``borders`` at or below it.
+    Words are their numbers in ``known``, from 1, the first one standing for its language as well; the
+    columns ``p1``, ... hold ``PACKED`` of them each, 0 where the window is padded. Without ``known`` the words are
+    spelled out in ``w1``, ..., the first one after its language and a space, and null pads. A window's
+    range is the number of ``borders`` at or below it.
     """
-    kind = pa.string() if known is None else pa.int64()
     shared = None if known is None else docs.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +135,7 @@ def windows(
                 def window(i: int) -> tuple:
                     return tuple(int(c[i]) for c in columns)
 
-                out = [pa.array(c, kind, mask=c == 0) for c in columns]
+                out = [pa.array(c) for c in packed(columns)]
             else:
                 head = f"{lang} ".encode()
 
@@ -148,10 +149,32 @@ def windows(
             # The chunk is in order, so each border is found by bisection.
             cuts = [bisect_left(range(len(counts)), border, key=window) for border in borders]
             place = np.searchsorted(cuts, np.arange(len(counts)), side="right").astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(place), *out, pa.array(counts)], ["range", *names(longest), "c"])
+            yield pa.RecordBatch.from_arrays([pa.array(place), *out, pa.array(counts)], ["range", *window_columns(known, longest), "c"])
 
-    type_name = "string" if known is None else "long"
-    return docs.mapInArrow(run, "range int, " + ", ".join(f"{w} {type_name}" for w in names(longest)) + ", c long")
+    kind = "string" if known is None else "long"
+    return docs.mapInArrow(run, "range int, " + ", ".join(f"{w} {kind}" for w in window_columns(known, longest)) + ", c long")
+
+
+def window_columns(known: list | None, longest: int) -> list[str]:
+    """The columns that hold a window on its way."""
+    return names(longest) if known is None else [f"p{i}" for i in range(1, -(-longest // PACKED) + 1)]
+
+
+def packed(columns: list[np.ndarray]) -> list[np.ndarray]:
+    """``PACKED`` numbers of 21 bits in each long, in the same order."""
+    padded = [*columns, *[np.zeros_like(columns[0])] * (-len(columns) % PACKED)]
+    return [sum(c << (BITS * (PACKED - 1 - i)) for i, c in enumerate(padded[at: at + PACKED])) for at in range(0, len(padded), PACKED)]
+
+
+def unpacked(table: pa.Table, longest: int) -> pa.Table:
+    """The word columns, null for padding, in place of the packed ones."""
+    if "p1" not in table.column_names:
+        return table
+    words = []
+    for i in range(longest):
+        code = table.column(f"p{i // PACKED + 1}").to_numpy() >> (BITS * (PACKED - 1 - i % PACKED)) & ((1 << BITS) - 1)
+        words.append(pa.array(code, pa.int64(), mask=code == 0))
+    return pa.table([table.column("range"), *words, table.column("c")], names=["range", *names(longest), "c"])
 
 
 def names(longest: int) -> list[str]:
@@ -185,11 +208,15 @@ def _borders(docs: DataFrame, known: list[tuple[str, bytes]] | None, longest: in
     """Windows at the borders of ``ranges`` ranges of about equal size, from a sample of the documents."""
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     step = max(1, size // SAMPLE_BYTES)
-    few = windows(docs.where(F.pmod(F.xxhash64("text"), F.lit(step)) == 0), known, longest).select(*names(longest))
+    few = windows(docs.where(F.pmod(F.xxhash64("text"), F.lit(step)) == 0), known, longest)
     share = max(1, min(size, SAMPLE_BYTES) // 8 // (ranges * KEYS_PER_RANGE))
-    keys = few.where(F.pmod(F.xxhash64(*names(longest)), F.lit(share)) == 0).collect()
-    none = b"" if known is None else 0
-    found = sorted(tuple(none if x is None else (x.encode() if known is None else x) for x in k) for k in keys)
+    columns = window_columns(known, longest)
+    keys = few.where(F.pmod(F.xxhash64(*columns), F.lit(share)) == 0).select(*columns).collect()
+    if known is None:
+        found = sorted(tuple(b"" if x is None else x.encode() for x in k) for k in keys)
+    else:
+        shifts = [(i // PACKED, BITS * (PACKED - 1 - i % PACKED)) for i in range(longest)]
+        found = sorted(tuple(k[at] >> shift & ((1 << BITS) - 1) for at, shift in shifts) for k in keys)
     return sorted({found[len(found) * i // ranges] for i in range(1, ranges)}) if found else []
 
 
@@ -268,6 +295,7 @@ def _codes(column: pa.ChunkedArray) -> np.ndarray:
 
 def cut_windows(dealt: DataFrame, longest: int, least: int) -> DataFrame:
     """(w1, ..., c) of the windows as far as they may be frequent, from rows dealt and sorted by range and window."""
+    kind = "string" if "w1" in dealt.columns else "long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, held, rows = _Cutter(longest, least), [], 0
@@ -275,13 +303,13 @@ def cut_windows(dealt: DataFrame, longest: int, least: int) -> DataFrame:
             held.append(batch)
             rows += batch.num_rows
             if rows >= ROWS_AT_ONCE:
-                yield from cutter.feed(pa.Table.from_batches(held)).to_batches()
+                yield from cutter.feed(unpacked(pa.Table.from_batches(held), longest)).to_batches()
                 held, rows = [], 0
         if held or cutter.rest is not None:
-            tail = pa.Table.from_batches(held) if held else cutter.rest.slice(0, 0)
+            tail = unpacked(pa.Table.from_batches(held), longest) if held else cutter.rest.slice(0, 0)
             yield from cutter.feed(tail, last=True).to_batches()
 
-    return dealt.mapInArrow(run, T.StructType([f for f in dealt.schema.fields if f.name != "range"]))
+    return dealt.mapInArrow(run, ", ".join(f"{w} {kind}" for w in names(longest)) + ", c long")
 
 
 def marginal_counts(cut: DataFrame, longest: int, least: int) -> DataFrame:
@@ -361,7 +389,8 @@ def collocations(
     known = _frequent(words, least, dictionary)
     ranges = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     borders = _borders(rows, known, longest, ranges)
-    dealt = windows(rows, known, longest, borders).repartition(ranges // 4, "range").sortWithinPartitions("range", *names(longest))
+    dealt = windows(rows, known, longest, borders).repartition(ranges // 4, "range")
+    dealt = dealt.sortWithinPartitions("range", *window_columns(known, longest))
     cut = stored(cut_windows(dealt, longest, least), "windows")
     phrases = stored(_spell(marginal_counts(cut, longest, least), known, longest), "phrases")
     ranked = maximal(scored(phrases, words.where(F.col("n") >= least), totals), share)
