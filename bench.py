@@ -14,7 +14,7 @@ import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pressgauge.plans.queries import QUERIES  # noqa: E402
+from pressgauge.plans.catalog import QUERIES  # noqa: E402
 from pressgauge.session import build_session  # noqa: E402
 
 HEADLINE = (

@@ -89,11 +89,10 @@ def join_directions(forward: Column, backward: Column) -> Column:
     return F.concat(forward, backward)
 
 
-def document_vectors(
-    index: DataFrame, table: DataFrame, ids: Sequence[str], words: Attention, sentences: Attention, out: str = "pooled",
-    *, small: bool | None = None,
+def sentence_vectors(
+    index: DataFrame, table: DataFrame, ids: Sequence[str], words: Attention, *, small: bool | None = None
 ) -> DataFrame:
-    """Two-level document vectors: words pool to sentences, sentences to documents.
+    """(ids, sent_pos, vector): the words of each sentence pooled.
 
     Words are scored once in the vector table, not once per occurrence. The table is broadcast if
     measured small, else joined by shuffle; the rows are the same. An index without a vector is left out.
@@ -101,5 +100,12 @@ def document_vectors(
     scored = _scored(table.select(F.col("idx").cast("int").alias("idx"), "vector"), "vector", words)
     found = lookup(index, scored, "idx", small=small)
     group = [*ids, "sent_pos"]
-    per_sentence = _means(_powers(found, group, words), group, "vector", "vector")
-    return pool(per_sentence, ids, "vector", sentences, out)
+    return _means(_powers(found, group, words), group, "vector", "vector")
+
+
+def document_vectors(
+    index: DataFrame, table: DataFrame, ids: Sequence[str], words: Attention, sentences: Attention, out: str = "pooled",
+    *, small: bool | None = None,
+) -> DataFrame:
+    """Two-level document vectors: words pool to sentences, sentences to documents."""
+    return pool(sentence_vectors(index, table, ids, words, small=small), ids, "vector", sentences, out)

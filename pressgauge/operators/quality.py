@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 
 def report(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
@@ -55,3 +55,22 @@ def with_link(df: DataFrame, url: str = "url") -> tuple[DataFrame, DataFrame]:
 def union_reports(*reports: DataFrame) -> DataFrame:
     """Several reports as one table."""
     return reduce(DataFrame.unionByName, reports)
+
+
+def write_observed(df: DataFrame, path: str, checks: dict[str, Column], keys: dict[str, str] | None = None) -> DataFrame:
+    """Write a table and return the report of ``checks`` gathered by the same job.
+
+    ``keys`` names counts of different values, each of one column: the first row of a value is marked
+    behind a shuffle by it, as metrics of a running job cannot count distinct values. A null is no value.
+    """
+    marks = {}
+    frame = df
+    for i, (name, key) in enumerate((keys or {}).items()):
+        first = F.row_number().over(Window.partitionBy(key).orderBy(F.lit(0))) == 1
+        frame = frame.withColumn(f"_first{i}", first & F.col(key).isNotNull())
+        marks[name] = F.count_if(F.col(f"_first{i}"))
+    measures = {**checks, **marks}
+    seen = Observation()
+    observed = frame.observe(seen, *[F.coalesce(column.cast("bigint"), F.lit(0)).alias(name) for name, column in measures.items()])
+    observed.drop(*[f"_first{i}" for i in range(len(marks))]).write.parquet(path)
+    return df.sparkSession.createDataFrame([(name, seen.get[name]) for name in measures], "check string, value bigint")

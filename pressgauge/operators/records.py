@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
@@ -93,6 +94,31 @@ def parse_payload_checked(
     return parsed.where(~missing).select(*others, "_p.*"), parsed.where(missing).select(value)
 
 
+class Kind(NamedTuple):
+    """A message kind: the key by which it is known, and its fields."""
+
+    mark: str
+    schema: T.StructType
+
+
+def route_messages(messages: DataFrame, kinds: dict[str, Kind], value: str = "value") -> DataFrame:
+    """Messages with ``message``, their JSON as VARIANT, and ``kind``: the first whose mark they carry.
+
+    The text is parsed once, whatever the kinds. ``kind`` is null for text that is no JSON object, has no
+    ``news_id`` or carries no mark.
+    """
+    parsed = messages.withColumn("message", F.try_parse_json(F.col(value).cast("string")))
+    has_id = F.try_variant_get("message", "$.news_id", "string").isNotNull()
+    kind = F.coalesce(*[F.when(F.try_variant_get("message", f"$.{k.mark}", "variant").isNotNull(), F.lit(name)) for name, k in kinds.items()])
+    return parsed.withColumn("kind", F.when(has_id, kind))
+
+
+def of_kind(routed: DataFrame, name: str, kind: Kind, keep: Sequence[str] = ("timestamp",)) -> DataFrame:
+    """The messages of one kind by field; a field that is missing or of another type is null."""
+    fields = [F.try_variant_get("message", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in kind.schema.fields]
+    return routed.where(F.col("kind") == name).select(*fields, *keep)
+
+
 def social_document(scores: DataFrame) -> DataFrame:
     """Social result under the field names of the document table."""
     return scores.withColumnRenamed("sentiment_scores", "comments_sentiment_scores")

@@ -460,8 +460,9 @@ def _needed(sql: str) -> list[str]:
 def _statement(body: str) -> str:
     views = [f"{name} as ({VIEWS[name]})" for name in _needed(body)]
     body = body.strip()
-    if views and body.startswith("with "):
-        return "with " + ",\n".join(views) + ",\n" + body[len("with "):]
+    for head in ("with recursive ", "with "):
+        if views and body.startswith(head):
+            return head + ",\n".join(views) + ",\n" + body[len(head):]
     return ("with " + ",\n".join(views) + "\n" if views else "") + body
 
 

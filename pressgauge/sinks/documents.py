@@ -82,16 +82,23 @@ def merge(social: DataFrame, articles: DataFrame, time: str = "date") -> DataFra
     left = social if "part" in social.columns else social.withColumn("part", F.lit(0).cast("bigint"))
     right = articles.withColumn("part", F.lit(0).cast("bigint"))
     keys = ("news_id", "part")
-    shared = [c for c in right.columns if c in left.columns and c not in keys]
-    own = [F.col(f"s.{c}") for c in left.columns if c not in (*keys, *shared)]
-    other = [F.col(f"a.{c}") for c in right.columns if c not in (*keys, *shared)]
     joined = left.withColumn("_s", F.lit(True)).alias("s").join(right.withColumn("_a", F.lit(True)).alias("a"), list(keys), "full_outer")
+    return joined.select(*keys, *merged_fields(left.columns, right.columns, keys, time))
+
+
+def merged_fields(social: Sequence[str], articles: Sequence[str], keys: Sequence[str], time: str) -> list[Column]:
+    """The fields of joined sides ``s`` and ``a``, whose rows are marked by ``_s`` and ``_a``.
+
+    Shared fields come from the side later by ``time``, from the article side if times are equal or not given.
+    """
+    shared = [c for c in articles if c in social and c not in keys]
+    own = [F.col(f"s.{c}") for c in social if c not in (*keys, *shared)]
+    other = [F.col(f"a.{c}") for c in articles if c not in (*keys, *shared)]
     later = F.lit(True)
     if time in shared:
         later = F.coalesce(F.col(f"a.{time}") >= F.col(f"s.{time}"), F.col(f"s.{time}").isNull())
     from_article = F.col("_a").isNotNull() & (F.col("_s").isNull() | later)
-    merged = [F.when(from_article, F.col(f"a.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in shared]
-    return joined.select(*keys, *own, *other, *merged)
+    return [*own, *other, *[F.when(from_article, F.col(f"a.{c}")).otherwise(F.col(f"s.{c}")).alias(c) for c in shared]]
 
 
 def with_date(docs: DataFrame, date: Column | None = None) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from pressgauge import schemas
 
@@ -22,10 +22,11 @@ def read_lines(spark: SparkSession, path: str, name: str = "line") -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias(name))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False, multi_line: bool = True) -> DataFrame:
-    """CSV with the given column names and types; quoted fields may hold line feeds and quotes.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False, multi_line: bool = False) -> DataFrame:
+    """CSV with the given column names and types; quoted fields may hold quotes.
 
-    Without ``multi_line`` a record is one line, and large files are split over tasks.
+    A record is one line, and large files are split over tasks. With ``multi_line`` quoted fields may hold
+    line feeds as well, and a file is one task.
     """
     return (
         spark.read.schema(schema).option("header", header)
@@ -49,10 +50,22 @@ def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def read_ranked_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(rank, line) of one ranked word file; the rank is the line number, from 1."""
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.posexplode(F.split(F.regexp_replace("value", r"\n$", ""), "\n")).alias("pos", "line"))
-    return lines.select((F.col("pos") + 1).cast("bigint").alias("rank"), "line")
+    """(rank, line) of ranked word files; the rank is the line number, from 1, and goes on from file to file by path.
+
+    Files are read in splits, by as many tasks: a first pass counts the lines of each split, their prefix sums
+    over files and offsets are the ranks before it, and the second pass adds each line's place in its
+    split. What one task orders is one row per split.
+    """
+    lines = spark.read.text(path).select(
+        F.col("value").alias("line"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        # Rising by one from line to line inside a split, as one task reads it without a break.
+        F.monotonically_increasing_id().alias("at"),
+    )
+    splits = lines.groupBy("file", "start").agg(F.min("at").alias("first"), F.count(F.lit(1)).alias("n"))
+    order = Window.orderBy("file", "start").rowsBetween(Window.unboundedPreceding, -1)
+    before = splits.select("file", "start", "first", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("before"))
+    placed = lines.join(before, ["file", "start"])
+    return placed.select((F.col("before") + F.col("at") - F.col("first") + 1).alias("rank"), "line")
 
 
 def read_vectors(spark: SparkSession, path: str) -> DataFrame:

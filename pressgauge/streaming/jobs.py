@@ -13,6 +13,8 @@ from pressgauge.operators import articles, credibility, engagement, records, sen
 from pressgauge.sinks import documents
 from pressgauge.sinks.files import stored
 from pressgauge.sinks.topics import stream_writer
+from pressgauge.sources import folder_topic
+from pressgauge.sources.page_store import PageStore
 from pressgauge.streaming import state
 
 DAY = "1 day"
@@ -117,11 +119,19 @@ def current_social(spark: SparkSession, seeds: str, comments: str) -> DataFrame:
     return social.roll_up(stored(engagement.attach_comments(asked, said), "current"))
 
 
+def _pages(pages: DataFrame | PageStore, batch: DataFrame) -> DataFrame:
+    """The stored pages a batch may need: all of them, or the buckets of its addresses."""
+    return pages.wanted(batch, "news_url") if isinstance(pages, PageStore) else pages
+
+
 def article_stream(
-    seeds: DataFrame, pages: DataFrame, tables: dict[str, DataFrame], path: str, checkpoint: str,
+    seeds: DataFrame, pages: DataFrame | PageStore, tables: dict[str, DataFrame], path: str, checkpoint: str,
     *, model: PipelineModel | None = None, event_time: str = "timestamp", delay: str = DAY, **how,
 ) -> StreamingQuery:
-    """Articles of each newly seen seed: extracted, scored, judged by the model if given, stored."""
+    """Articles of each newly seen seed: extracted, scored, judged by the model if given, stored.
+
+    From a ``PageStore`` each micro-batch reads only the buckets of its addresses.
+    """
     once = state.without_replays(seeds, ["news_id", "news_url"], event_time, delay)
 
     def enrich(extracted: DataFrame) -> DataFrame:
@@ -133,12 +143,12 @@ def article_stream(
         return documents.with_date(records.article_document(found))
 
     return upsert_stream(
-        once, path, checkpoint, mode="append", prepare=lambda batch: articles.fetch(batch, pages), transform=enrich, **how
+        once, path, checkpoint, mode="append", prepare=lambda batch: articles.fetch(batch, _pages(pages, batch)), transform=enrich, **how
     )
 
 
 def message_stream(
-    messages: DataFrame, pages: DataFrame, publish: Callable[[DataFrame, int], None], quarantine: str, checkpoint: str,
+    messages: DataFrame, pages: DataFrame | PageStore, publish: Callable[[DataFrame, int], None], quarantine: str, checkpoint: str,
     *, small: bool | None = None, **how,
 ) -> StreamingQuery:
     """Delimited seed messages to article messages: decoded, their pages fetched, sent on as JSON by key.
@@ -151,13 +161,56 @@ def message_stream(
         good, bad = records.decode_records(batch.select("value"))
         try:
             documents.upsert(bad, quarantine, batch_id)
-            publish(records.json_payload(articles.fetch(good, pages, small=small)), batch_id)
+            publish(records.json_payload(articles.fetch(good, _pages(pages, good), small=small)), batch_id)
         finally:
             batch.unpersist()
 
     return stream_writer(messages, checkpoint, "append", **how).foreachBatch(write).start()
 
 
+def outer_document_stream(
+    social_docs: DataFrame, article_docs: DataFrame, path: str, checkpoint: str, *, event_time: str = "seen_at", delay: str = DAY,
+    within: str = DAY, article_delay: str | None = None, **how,
+) -> StreamingQuery:
+    """Social and article documents joined as one stream and stored, one row per pair or unmatched side.
+
+    A document waits for its other side until the watermarks have passed ``within``; an end-of-input mark
+    (a row with a null id and a late time) on both sides lets the last ones go.
+    """
+    joined = state.outer_join(social_docs, article_docs, "news_id", event_time, delay=delay, within=within, article_delay=article_delay)
+    return upsert_stream(joined.where(F.col("news_id").isNotNull()), path, checkpoint, mode="append", **how)
+
+
+def consumer_stream(
+    messages: DataFrame, kinds: dict[str, records.Kind], path: str, quarantine: str, checkpoint: str, **how
+) -> StreamingQuery:
+    """JSON messages of several kinds to the document table, one writer per kind; unreadable ones to ``quarantine``.
+
+    ``messages`` has ``value`` and ``timestamp``; of one batch's messages about a document the newest counts.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        routed = records.route_messages(batch, kinds).persist()
+        try:
+            for name, kind in kinds.items():
+                own = records.of_kind(routed, name, kind)
+                newest = _newest(own, ["news_id"], "timestamp")
+                documents.upsert(newest.drop("timestamp"), path, batch_id, writer=name)
+            documents.upsert(routed.where(F.col("kind").isNull()).select("value"), quarantine, batch_id)
+        finally:
+            routed.unpersist()
+
+    return stream_writer(messages, checkpoint, "append", **how).foreachBatch(write).start()
+
+
+def topic_stream(
+    source: str, target: str, transform: Callable[[DataFrame], DataFrame], session: SparkSession, checkpoint: str, *,
+    mode: str = "append", writer: str = "main", **how,
+) -> StreamingQuery:
+    """From one folder topic to another: ``transform`` maps the message stream to (key, value) rows."""
+    return folder_topic.publish_stream(transform(folder_topic.read_stream(session, source)), target, checkpoint, mode, writer, **how)
+
+
 def run_to_end(query: StreamingQuery) -> None:
     """Wait for a query started with ``available_now``; its failure is raised here."""
     query.awaitTermination()

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from pressgauge.sinks.documents import merged_fields
+
 
 def without_replays(stream: DataFrame, keys: Sequence[str], event_time: str, delay: str) -> DataFrame:
     """First row per key within the watermark; a message sent again changes nothing."""
@@ -41,3 +43,21 @@ def latest(stream: DataFrame, keys: Sequence[str], event_time: str, fields: Sequ
     newest = F.max(F.struct(F.col(event_time).alias("seen_at"), *fields))
     return rows.groupBy(*keys, F.window(event_time, period).alias("_w")).agg(newest.alias("_r")) \
         .select(*keys, F.col("_w.start").alias("period"), "_r.*")
+
+
+def outer_join(
+    social: DataFrame, articles: DataFrame, key: str, event_time: str, *, delay: str, within: str, article_delay: str | None = None
+) -> DataFrame:
+    """Two streams as one record per ``key``: full outer join, the fields merged as in a batch merge.
+
+    Rows match if their times lie at most ``within`` apart, so state is dropped once the watermarks
+    (``delay``, and ``article_delay`` of the second side) have passed that span; a row that found no match
+    by then is released alone. Null keys match nothing.
+    """
+    left = social.withColumn("_s", F.lit(True)).withWatermark(event_time, delay).alias("s")
+    right = articles.withColumn("_a", F.lit(True)).withWatermark(event_time, article_delay or delay).alias("a")
+    mine, theirs, span = F.col(f"s.{event_time}"), F.col(f"a.{event_time}"), F.expr(f"interval {within}")
+    near = (F.col(f"s.{key}") == F.col(f"a.{key}")) & (theirs >= mine - span) & (theirs <= mine + span)
+    joined = left.join(right, near, "full_outer")
+    fields = merged_fields(social.columns, articles.columns, (key,), event_time)
+    return joined.select(F.coalesce(f"s.{key}", f"a.{key}").alias(key), *fields)

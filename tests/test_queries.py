@@ -7,12 +7,9 @@ import pytest
 
 import __spark_entry__ as driver
 from conftest import SMALL
-from pressgauge.plans.oracles import ORACLES
-from pressgauge.plans.queries import QUERIES
+from pressgauge.plans.catalog import ORACLES, QUERIES, ROWS_ONLY
 
 TABLES = "documents pages conversations labels embeddings events benchmark".split()
-# The classifier's predictions have no SQL counterpart.
-ROWS_ONLY = {"credibility_train", "credibility_score"}
 
 
 @pytest.fixture(scope="module")
