@@ -30,9 +30,9 @@ def pad(values: Column, width: int | Column) -> Column:
 
 
 def pseudo_random_vector(key: Column, width: int, seed: int = 0) -> Column:
-    """A repeatable vector of uniform numbers in [0, 1) for a key."""
-    scale = float(2**53)
-    return F.transform(
-        F.sequence(F.lit(1), F.lit(width)),
-        lambda i: (F.pmod(F.xxhash64(key, i, F.lit(seed)), F.lit(2**53)) / F.lit(scale)).cast("double"),
-    )
+    """A repeatable vector of uniform numbers in [0, 1) for a key: the first 32 bits of the MD5 of key, place and seed."""
+    def number(i: Column) -> Column:
+        digest = F.md5(F.concat_ws(":", key, i.cast("string"), F.lit(str(seed))).cast("binary"))
+        return F.conv(F.left(digest, F.lit(8)), 16, 10).cast("double") / F.lit(float(2**32))
+
+    return F.transform(F.sequence(F.lit(1), F.lit(width)), number)

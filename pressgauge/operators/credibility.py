@@ -13,6 +13,8 @@ from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pressgauge.operators.joins import lookup
+
 SCORING_BATCH = 20
 
 
@@ -62,6 +64,24 @@ def predict(model: PipelineModel, docs: DataFrame, keep: Sequence[str], vector:
     )
 
 
+def predict_linear(
+    terms: DataFrame, weights: DataFrame, ids: Sequence[str], *, intercept: float = 0.0, docs: DataFrame | None = None, small: bool | None = None
+) -> DataFrame:
+    """Verdicts of a linear model given as a table ``weights(token, weight)`` over ``terms`` (ids, ``token``, ``n``).
+
+    Kept are the ids, ``prediction``, ``probability`` and ``label_text`` as of :func:`predict`. Documents of
+    ``docs`` without any known term get the intercept. Weights are added as decimals, so the sum does not depend on
+    the order of rows.
+    """
+    known = lookup(terms, weights.select("token", "weight"), "token", small=small, salt=F.xxhash64(*ids))
+    part = (F.col("weight").cast("decimal(18,9)") * F.col("n").cast("decimal(12,0)")).cast("decimal(38,9)")
+    sums = known.groupBy(*ids).agg(F.sum(part).alias("_z"))
+    rows = sums if docs is None else docs.select(*ids).join(sums, list(ids), "left")
+    p = 1 / (1 + F.exp(-(F.coalesce(F.col("_z").cast("double"), F.lit(0.0)) + F.lit(float(intercept)))))
+    scored = rows.select(*ids, p.alias("probability")).withColumn("prediction", (F.col("probability") > 0.5).cast("int"))
+    return scored.select(*ids, "prediction", "probability", verdict(F.col("prediction")).alias("label_text"))
+
+
 def predict_external(
     docs: DataFrame,
     load_model: Callable[[], Callable[[np.ndarray], np.ndarray]],

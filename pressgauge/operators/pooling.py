@@ -17,6 +17,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressgauge.operators.joins import lookup
+from pressgauge.sinks.files import stored
 
 SAFE_BOUND = 300.0
 
@@ -77,9 +78,10 @@ def weights(df: DataFrame, group: Sequence[str], vector: str, attention: Attenti
     """Rows with their softmax weight within the group.
 
     The group sums are joined back rather than windowed: Spark broadcasts them if they turn out
-    small and splits a hot group if not, while a window would hold the group in one task.
+    small and splits a hot group if not, while a window would hold the group in one task. The scored rows are
+    stored, as both sides of that join read them.
     """
-    rows = _powers(_scored(df, vector, attention), group, attention).drop("_s")
+    rows = stored(_powers(_scored(df, vector, attention), group, attention).drop("_s"), "scored")
     sums = rows.groupBy(*group).agg(F.sum("_e").alias("_total"))
     return rows.join(sums, list(group)).withColumn(out, F.col("_e") / F.col("_total")).drop("_e", "_total")
 

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F,
 
 from pressgauge.functions import text as text_fn
 from pressgauge.operators.joins import BROADCAST_ROWS, lookup, unique
+from pressgauge.sinks.files import stored
 
 
 def token_rows(
@@ -44,6 +45,17 @@ def without_stop_words(rows: DataFrame, stop: DataFrame, small: bool | None = No
     return lookup(rows, stop, "token", "left_anti", small=small, salt=_row_salt(rows))
 
 
+def drop_stop_words(df: DataFrame, tokens: str, stop: DataFrame, most: int = 10_000) -> DataFrame:
+    """The token arrays without the words of ``stop(token)``, in place: no text is taken apart or shuffled.
+
+    For a word list proven to have at most ``most`` members; a longer one is an error, and needs the long form.
+    """
+    words = [r.token for r in stop.select("token").where(F.col("token").isNotNull()).distinct().limit(most + 1).collect()]
+    if len(words) > most:
+        raise ValueError(f"more than {most} stop words: use without_stop_words")
+    return df.withColumn(tokens, F.filter(tokens, lambda x: ~x.isin(words)) if words else F.col(tokens))
+
+
 def union_stop_words(*tables: DataFrame) -> DataFrame:
     """The members of any of several one-column word tables, each once."""
     merged = tables[0]
@@ -103,6 +115,21 @@ def vocabulary(rows: DataFrame, size: int = 16_000, min_length: int = 1) -> Data
     return with_rank(counts.orderBy(F.desc("n"), "token").limit(size), F.desc("n"), F.col("token"))
 
 
+def rank_all(counts: DataFrame, out: str = "idx") -> DataFrame:
+    """All of ``counts(token, n)`` ranked from 1 by falling count, then by word, without one task that holds them.
+
+    Rows are sorted by range and stored; a row's rank is its place in its range after all rows of the ranges before.
+    """
+    ordered = counts.repartitionByRange(F.desc("n"), F.asc("token")).sortWithinPartitions(F.desc("n"), F.asc("token"))
+    placed = stored(ordered.select("*", F.spark_partition_id().alias("_p"), F.monotonically_increasing_id().alias("_at")), "ranked")
+    sizes = placed.groupBy("_p").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    # One row per range.
+    starts = sizes.select("_p", "_first", before.alias("_before"))
+    rank = (F.col("_before") + F.col("_at") - F.col("_first") + 1).alias(out)
+    return placed.join(F.broadcast(starts), "_p").select(*counts.columns, rank)
+
+
 def with_rank(ranked: DataFrame, *order: Column, out: str = "idx") -> DataFrame:
     """Number rows from 1 in the given order. One task: only for tables bounded by a limit."""
     return ranked.withColumn(out, F.row_number().over(Window.orderBy(*order)))

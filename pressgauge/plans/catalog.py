@@ -9,5 +9,5 @@ from pressgauge.plans.queries import QUERIES, weighted_sentiment
 __all__ = ["ORACLES", "QUERIES", "ROWS_ONLY", "weighted_sentiment"]
 
 ORACLES = {**_FIRST, **{name: _statement(body) for name, body in more_queries.BODIES.items()}}
-#: The fits have no SQL counterpart.
+#: No SQL counterpart.
 ROWS_ONLY = {"credibility_train", "credibility_score", *more_queries.ROWS_ONLY}

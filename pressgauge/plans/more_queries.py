@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pressgauge import schemas
 from pressgauge.functions import text as text_fn
 from pressgauge.operators import (
-    articles, attention_training, features, keywords, phrases, pooling, quality, records, sentiment, substrings,
+    articles, attention_training, credibility, features, joins, phrases, pooling, quality, records, sentiment, substrings, tokens, tweets,
 )
+from pressgauge.plans import daily
 from pressgauge.plans.fixtures import EPOCH, SENTENCES, VOCABULARY, WIDTH, WORDS, Inputs
 from pressgauge.plans.oracles import BODIES as ORACLE_BODIES, _attention
 from pressgauge.plans.queries import _index, _sentences, _streaming_session, register
@@ -23,8 +24,8 @@ from pressgauge.sources.topics import read_files_as_topic
 from pressgauge.streaming import jobs, late
 
 BODIES: dict[str, str] = {}
-#: Queries whose rows come out of an iterative fit.
-ROWS_ONLY = ("attention_train",)
+#: Queries without SQL: an iterative fit, and a word list that only Spark has at hand.
+ROWS_ONLY = ("attention_train", "default_stop_filter")
 
 # --- Streams ------------------------------------------------------------------------------------
 
@@ -192,6 +193,62 @@ def stream_pruned_pages(i: Inputs) -> DataFrame:
 
 BODIES["stream_pruned_pages"] = "select r.* from v_article_results r join v_seeds s using (news_id) where favorite_count >= 2500"
 
+
+
+@register
+def stream_folded(i: Inputs) -> DataFrame:
+    """Events upserted in many small micro-batches into a table that is folded on the way."""
+    session = _streaming_session(i.spark)
+    path = fresh_dir(i.spark, "folded")
+    events = session.read.parquet(f"{i.folder}/events.parquet")
+    parts = [events.where(F.pmod(F.xxhash64("event_id"), F.lit(6)) == k) for k in range(6)]
+    jobs.run_to_end(jobs.upsert_stream(
+        _feed(session, parts, "fold-feed", 1), path, f"{path}-check", mode="append", available_now=True,
+        transform=lambda batch: tweets.first_per_key(batch, ["user_id"], F.desc("ts"), F.desc("event_id")),
+        fold_at=3, fold_keys=["user_id"], fold_order=["ts", "event_id"],
+    ))
+    current = documents.read_documents(i.spark, path, ["user_id"], order=["ts", "event_id"])
+    return current.select("user_id", "event_id", "event_type", "value")
+
+
+BODIES["stream_folded"] = "select * from v_latest"
+
+
+@register
+def daily_chain(i: Inputs) -> DataFrame:
+    """Two days from seeds to documents: published, scored, extracted and merged; an article of both days keeps the later one."""
+    base, spark = fresh_dir(i.spark, "daily"), i.spark
+    n = F.length("tweet_url") + F.col("favorite_count") / 100
+    for number, day in enumerate(("2024-01-01", "2024-01-02"), 1):
+        seeds = i.seeds().where((n % 2 == 0) if number == 1 else (n % 3 == 0))
+        sink.write_day(seeds.withColumn("retweet_count", F.lit(number)), f"{base}/seeds", day)
+        for _ in range(2):  # a job may be run again for its day
+            daily.publish_seeds(spark, f"{base}/seeds", f"{base}/social-topic", f"{base}/news-topic", day)
+        daily.score_day(spark, f"{base}/seeds", i.thread_comments(), i.social_tables(), f"{base}/social", day)
+        daily.article_day(spark, f"{base}/seeds", i.table("pages"), i.article_tables(), f"{base}/articles", day)
+        daily.merge_day(spark, f"{base}/social", f"{base}/articles", f"{base}/documents", day, number)
+    current = documents.read_documents(spark, f"{base}/documents", ["news_id", "part"])
+    sent = records.parse_payload(folder_topic.read(spark, f"{base}/news-topic").select("key", "value"), schemas._struct(("news_url", schemas.STRING)))
+    times = sent.groupBy(F.col("key").alias("news_id")).agg(F.count(F.lit(1)).alias("n_sent"))
+    return current.join(times, "news_id", "left").select(
+        "news_id", "part", "favorite_count", "weighted_sentiment_score", "news_title", "news_tokens", F.date_format("date", "yyyy-MM-dd").alias("date"), "n_sent"
+    ).withColumn("weighted_sentiment_score", F.round("weighted_sentiment_score", 6))
+
+
+BODIES["daily_chain"] = f"""
+    with social as ({ORACLE_BODIES['social_results']}),
+    art as (select * from v_article_results),
+    n as (select news_id, length(tweet_url) + favorite_count / 100 as n from v_seeds),
+    days as (
+        select news_id, max(day) as day, count(*) as n_sent from (
+            select news_id, 1 as day from n where n % 2 = 0 union all select news_id, 2 from n where n % 3 = 0)
+        group by news_id)
+    select coalesce(s.news_id, a.news_id) as news_id, coalesce(s.part, 0) as part, favorite_count, weighted_sentiment_score, news_title,
+           a.news_tokens, '2024-01-0' || day as date, n_sent
+    from (select * from social where news_id in (select news_id from days)) s
+    full join (select * from art where news_id in (select news_id from days)) a on s.news_id = a.news_id and s.part = 0
+    join days d on d.news_id = coalesce(s.news_id, a.news_id)"""
+
 # --- Text ---------------------------------------------------------------------------------------
 
 
@@ -265,6 +322,40 @@ def line_ranks(i: Inputs) -> DataFrame:
 
 BODIES["line_ranks"] = "select token, idx from v_vocab"
 
+def _word_counts(i: Inputs) -> DataFrame:
+    return tokens.token_rows(i.table("documents"), ["doc_id"]).groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register
+def vocabulary_all(i: Inputs) -> DataFrame:
+    """Every word of every language with its rank."""
+    return tokens.rank_all(_word_counts(i))
+
+
+BODIES["vocabulary_all"] = "select token, n, row_number() over (order by n desc, token) as idx from (select token, count(*) as n from v_dtok group by token)"
+
+
+@register
+def term_counts_all(i: Inputs) -> DataFrame:
+    """Count vectors over the whole vocabulary, by word number; no word goes through the driver."""
+    numbers = tokens.rank_all(_word_counts(i)).select("token", "idx")
+    counted = tokens.term_counts(tokens.token_rows(i.table("documents"), ["doc_id"]), ["doc_id"])
+    return joins.lookup(counted, numbers, "token", salt=F.xxhash64("doc_id")).select("doc_id", "idx", "n")
+
+
+BODIES["term_counts_all"] = """
+    with ranks as (select token, row_number() over (order by n desc, token) as idx from (select token, count(*) as n from v_dtok group by token))
+    select doc_id, idx, count(*) as n from v_dtok join ranks using (token) group by all"""
+
+
+@register
+def default_stop_filter(i: Inputs) -> DataFrame:
+    """Texts without the English stop words that ship with Spark."""
+    found = i.table("documents").select("doc_id", text_fn.letter_tokens(F.col("text")).alias("tokens"))
+    kept = tokens.drop_stop_words(found, "tokens", tokens.default_stop_words(i.spark))
+    return kept.select("doc_id", F.array_join("tokens", " ").alias("tokens"))
+
+
 # --- Quality and learning -----------------------------------------------------------------------
 
 
@@ -309,6 +400,64 @@ BODIES["attention_score"] = f"""
     select doc_id, round(1 / (1 + exp(-z)), 8) as probability from p"""
 
 
+@register
+def credibility_linear(i: Inputs) -> DataFrame:
+    """Verdicts on all documents by a linear model with fixed weights for the ranked words."""
+    weights = i.vocab().select("token", ((F.col("idx") * 7 % 19 - 9) / 16).alias("weight"))
+    terms = tokens.term_counts(tokens.token_rows(i.table("documents"), ["doc_id"]), ["doc_id"])
+    found = credibility.predict_linear(terms, weights, ["doc_id"], intercept=-0.5, docs=i.table("documents"), small=True)
+    return found.withColumn("probability", F.round("probability", 9))
+
+
+BODIES["credibility_linear"] = """
+    with z as (
+        select doc_id, sum(cast((idx * 7 % 19 - 9) / 16.0 as decimal(18,9))) as z from v_dtok join v_vocab using (token) group by doc_id
+    ), p as (
+        select doc_id, 1 / (1 + exp(-(coalesce(cast(z as double), 0) - 0.5))) as p from documents left join z using (doc_id)
+    )
+    select doc_id, cast(p > 0.5 as integer) as prediction, round(p, 9) as probability, case when p > 0.5 then 'Fake' else 'True' end as label_text from p"""
+
+
+@register
+def vector_random(i: Inputs) -> DataFrame:
+    """Vectors of all ranked words: pretrained, or else repeatable random numbers."""
+    full = features.vector_table(i.vocab(), i.vectors().where(F.length("token") % 2 == 0), 8)
+    return full.select("idx", "token", "found", F.posexplode(F.slice("vector", 1, 8)).alias("dim", "v")).withColumn("v", F.round("v", 6))
+
+
+BODIES["vector_random"] = """
+    select idx, token, found, cast(unnest(range(8)) as integer) as dim, round(unnest(vector), 6) as v from (
+        select idx, token, embedding is not null as found, coalesce(embedding[1:8]::double[], list_transform(range(1, 9),
+            lambda i: cast(('0x' || left(md5(token || ':' || i || ':0'), 8)) as bigint) / 4294967296.0)) as vector
+        from v_vocab left join embeddings on vec_id = idx - 1 and length(token) % 2 = 0)"""
+
+
+def _double_width() -> pooling.Attention:
+    return pooling.Attention(w=WORDS.w + SENTENCES.w, b=WORDS.b, u=WORDS.u)
+
+
+@register
+def direction_pool(i: Inputs) -> DataFrame:
+    """Vectors of both directions (here: of a row and of its mirror image in the table) as one, pooled by label."""
+    rows = i.table("embeddings").where("label is not null")
+    last = rows.agg(F.max("vec_id")).first()[0]
+    mirror = rows.select(F.col("vec_id").alias("other"), F.col("embedding").alias("backward"))
+    pairs = rows.withColumn("other", F.lit(last) - F.col("vec_id")).join(mirror, "other")
+    joined = pairs.select("label", pooling.join_directions(F.col("embedding"), F.col("backward")).alias("vector"))
+    pooled = pooling.pool(joined, ["label"], "vector", _double_width())
+    return pooled.select("label", F.posexplode("pooled").alias("dim", "v")).withColumn("v", F.round("v", 6))
+
+
+BODIES["direction_pool"] = f"""
+    with last as (select max(vec_id) as last from embeddings where label is not null), b as (
+        select a.label, list_concat(a.embedding::double[], o.embedding::double[]) as v
+        from embeddings a, last join embeddings o on o.vec_id = last - a.vec_id where a.label is not null and o.label is not null
+    )
+    select label, cast(dim as integer) as dim, round(sum(e * x) / sum(e), 6) as v
+    from (select label, exp({_attention('v', pooling.Attention(w=WORDS.w + SENTENCES.w, b=WORDS.b, u=WORDS.u))}) as e, unnest(v) as x, unnest(range({2 * WIDTH})) as dim from b)
+    group by all"""
+
+
 @register
 def attention_train(i: Inputs) -> DataFrame:
     """Attention and output layer fitted on the sentence vectors of labelled documents, with the loss on each side of the split."""

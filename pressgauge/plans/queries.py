@@ -315,8 +315,9 @@ def flatten_tokens(i: Inputs) -> DataFrame:
 def stopword_filter(i: Inputs) -> DataFrame:
     more = i.vocab().where("idx between 20 and 40").select("token")
     stop = tokens.union_stop_words(i.stop(), more)
-    rows = tokens.without_stop_words(tokens.token_rows(i.table("documents"), ["doc_id"], by_id=True), stop, small=True)
-    return tokens.collect_tokens(rows, ["doc_id"]).withColumn("tokens", _join("tokens"))
+    found = i.table("documents").select("doc_id", text_fn.letter_tokens(F.col("text")).alias("tokens"))
+    kept = tokens.drop_stop_words(found, "tokens", stop).where(F.size("tokens") > 0)
+    return kept.withColumn("tokens", _join("tokens"))
 
 
 @register

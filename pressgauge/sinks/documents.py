@@ -73,6 +73,41 @@ def compact(
     _publish(current, [c for c in current.columns if c != "lastModified"], target, f"writer=compact/batch_id={last}")
 
 
+def fold(spark: SparkSession, path: str, most: int, keys: Sequence[str] = ("news_id",), order: Sequence[str] = ()) -> bool:
+    """Fold each writer's batches, once it has more than ``most`` of them; readers see the same documents throughout.
+
+    Per key and set of fields the newest row is kept as it is, so ``read_documents`` with the same ``order`` gives what
+    it gave before. A writer's last batch stays apart, as a stream may send it again. The folded rows become
+    visible by one rename before the old folders go. Call it between batches; returns whether anything was folded.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    done = False
+    for status in fs.listStatus(hadoop(path)):
+        writer = status.getPath().getName()
+        if not writer.startswith("writer="):
+            continue
+        found = [s.getPath().getName() for s in fs.listStatus(status.getPath())]
+        batches = sorted(int(name.removeprefix("batch_id=")) for name in found if name.startswith("batch_id="))
+        old = batches[:-1]
+        if len(batches) <= most or len(old) < 2:
+            continue
+        rows = spark.read.option("mergeSchema", True).option("basePath", path).parquet(*[f"{path}/{writer}/batch_id={b}" for b in old])
+        version = F.struct(*order, "lastModified", F.col("batch_id").cast("bigint"))
+        columns = [c for c in rows.columns if c not in ("batch_id", "writer")]
+        newest = rows.groupBy(*keys, F.col("_fields").alias("_set")).agg(F.max_by(F.struct(*columns), version).alias("_row"))
+        staged = f"{path}/_staged/{uuid.uuid4().hex}"
+        newest.select("_row.*").write.parquet(staged)
+        # Negative, so that a later batch wins a tie; lower than every fold before.
+        target = hadoop(f"{path}/{writer}/batch_id={min(0, old[0]) - 1}")
+        if not fs.rename(hadoop(staged), target):
+            raise OSError(f"cannot rename {staged} to {target}")
+        for batch in old:
+            fs.delete(hadoop(f"{path}/{writer}/batch_id={batch}"), True)
+        done = True
+    return done
+
+
 def merge(social: DataFrame, articles: DataFrame, time: str = "date") -> DataFrame:
     """Social and article documents as one record per ``news_id`` and part.
 

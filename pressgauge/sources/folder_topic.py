@@ -192,13 +192,19 @@ class FolderTopic(DataSource):
 
 
 def register(spark: SparkSession) -> None:
-    """Make the format known to a session, and to the thread's active one, in which writers look formats up."""
-    for session in {id(s): s for s in (spark, SparkSession.getActiveSession()) if s is not None}.values():
+    """Make the format known to a session, and to the active and the default one, in which writers look formats up."""
+    before = SparkSession.getActiveSession() or spark
+    sessions = spark._jvm.org.apache.spark.sql.classic.SparkSession
+    for session in (before, SparkSession.builder.getOrCreate(), spark):
+        # Whether a name is taken is asked of the active session.
+        sessions.setActiveSession(session._jsparkSession)
         try:
             session.dataSource.register(FolderTopic)
         except AnalysisException as error:
             if error.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
                 raise
+        finally:
+            sessions.setActiveSession(before._jsparkSession)
 
 
 def publish(messages: DataFrame, path: str, mark: str | None = None) -> None:

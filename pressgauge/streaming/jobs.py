@@ -23,15 +23,23 @@ DAY = "1 day"
 def upsert_stream(
     rows: DataFrame, path: str, checkpoint: str, *, mode: str = "update",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
-    transform: Callable[[DataFrame], DataFrame] | None = None, modified: Column | None = None, writer: str = "main", **how,
+    transform: Callable[[DataFrame], DataFrame] | None = None, modified: Column | None = None, writer: str = "main",
+    fold_at: int | None = None, fold_keys: Sequence[str] = ("news_id",), fold_order: Sequence[str] = (), **how,
 ) -> StreamingQuery:
     """Upsert every micro-batch into a document table, after an optional batch transformation.
 
     ``transform`` may read its input several times: the batch, or what ``prepare`` makes of it, is
     computed once and kept until the batch is written. Streams that share a table need a ``writer`` name each.
+    With ``fold_at`` the batches are folded once there are more of them; a table that several streams write should
+    be folded by one of them only.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        put(batch, batch_id)
+        if fold_at is not None:
+            documents.fold(batch.sparkSession, path, fold_at, fold_keys, fold_order)
+
+    def put(batch: DataFrame, batch_id: int) -> None:
         if transform is None:
             documents.upsert(batch, path, batch_id, modified, writer)
             return
