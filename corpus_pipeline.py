@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressgauge.llm import exact_dedup, minhash, packing, substring, toxicity
+from pressgauge.llm import exact_dedup, packing, simhash, substring, toxicity
 from pressgauge.llm.common import table
 from pressgauge.sinks.files import stored
 
@@ -28,8 +28,8 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest id of each group linked at a Jaccard similarity of 0.8 and more, on shingles of five words."""
-    return minhash.kept_documents(docs, shingle=5, similarity=0.8)
+    """The smallest id of each group whose fingerprints of four-word shingles link at four differing bits."""
+    return simhash.kept_documents(docs, shingle=4, distance=4)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
