@@ -21,6 +21,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pressgauge.llm.common import byte_slices, free_name, longs
@@ -30,6 +31,7 @@ BITS = 20
 RANGES = 64
 MAX_ROWS = 40_000
 MAX_FEATURES = 4096
+BLOCK = 1 << 18
 _STEP = 0x9E3779B97F4A7C15
 
 
@@ -66,12 +68,13 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for part, texts in byte_slices(batches, "text"):
         label = longs(part, "label")[0]
         rows += np.bincount(label, minlength=2)
-        for doc, bucket in grams(texts):
-            once = np.unique(doc.astype(np.int64) << BITS | bucket)
-            positive = label[once >> BITS] == 1
-            once &= (1 << BITS) - 1
-            seen[0] += np.bincount(once[~positive], minlength=1 << BITS).astype(np.int32)
-            seen[1] += np.bincount(once[positive], minlength=1 << BITS).astype(np.int32)
+        found = [np.unique(doc.astype(np.int64) << BITS | bucket) for doc, bucket in grams(texts)]
+        # Grams of different orders may share a bucket.
+        once = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+        positive = label[once >> BITS] == 1
+        once &= (1 << BITS) - 1
+        seen[0] += np.bincount(once[~positive], minlength=1 << BITS).astype(np.int32)
+        seen[1] += np.bincount(once[positive], minlength=1 << BITS).astype(np.int32)
     if rows.sum():
         packed = [zlib.compress(np.ascontiguousarray(x).tobytes(), 1) for x in np.split(seen, RANGES, axis=1)]
         yield pa.RecordBatch.from_arrays(
@@ -127,8 +130,12 @@ def sample(labels: DataFrame, train: Column, max_rows: int) -> DataFrame:
     return one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
 
 
-def fit(docs: DataFrame, labels: DataFrame, train: Column, max_rows: int = MAX_ROWS) -> Model:
-    """Fit on the labelled rows for which ``train`` (over doc_id) holds."""
+def fit(docs: DataFrame, labels: DataFrame, train: Column, max_rows: int = MAX_ROWS, max_features: int = MAX_FEATURES) -> Model:
+    """Fit on at most ``max_rows`` of the labelled rows for which ``train`` (over doc_id) holds.
+
+    At most ``max_features`` features, those that part the classes best, get a weight. Their numbers have 16
+    bits, so there can be 65,536. Rows of ``docs`` that repeat a labelled id count once each.
+    """
     chosen = sample(labels, train, max_rows)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("label").cast("long").alias("label"))
     parts = texts.mapInArrow(_counted, _PACKED).repartition(RANGES, "range").mapInArrow(_summed, _PACKED).collect()
@@ -143,7 +150,7 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, max_rows: int = MAX_R
     both = count.sum(0) / (positives + negatives)
     spread = np.sqrt(np.maximum(both * (1 - both), 1e-9) * (1 / positives + 1 / negatives))
     score = np.where(count.sum(0) >= 3, np.abs(count[1] / positives - count[0] / negatives) / spread, 0)
-    buckets = np.sort(np.argsort(-score, kind="stable")[:MAX_FEATURES])
+    buckets = np.sort(np.argsort(-score, kind="stable")[:max_features])
     buckets = buckets[score[buckets] > 4]
     ratio = np.log(p / q)[buckets]
 
@@ -155,31 +162,67 @@ def fit(docs: DataFrame, labels: DataFrame, train: Column, max_rows: int = MAX_R
             packed = [feature[a:b].astype(np.uint16).tobytes() for a, b in zip(cuts, cuts[1:])]
             yield pa.RecordBatch.from_arrays([part.column(part.schema.get_field_index("label")), pa.array(packed, pa.binary())], ["label", "features"])
 
-    seen = texts.mapInArrow(rows, "label long, features binary").groupBy("label", "features").agg(F.count(F.lit(1)).alias("n")).collect()
-    seen.sort(key=lambda r: (r.label, bytes(r.features)))
-    weights, intercept = regression([np.frombuffer(r.features, np.uint16) for r in seen], np.array([r.label for r in seen]), np.array([r.n for r in seen]), ratio, base)
+    counted = texts.mapInArrow(rows, "label long, features binary").groupBy("label", "features").agg(F.count(F.lit(1)).alias("n"))
+    seen = counted.toArrow()
+    seen = seen.take(pc.sort_indices(seen, [("label", "ascending"), ("features", "ascending")]))
+    weights, intercept = regression(Rows.of(seen), ratio, base)
     return Model(buckets, weights, intercept)
 
 
-def regression(rows: list[np.ndarray], y: np.ndarray, n: np.ndarray, ratio: np.ndarray, base: float, penalty: float = 1.0, rounds: int = 300) -> tuple[np.ndarray, float]:
-    """Logistic regression on features scaled by ``ratio``; accelerated gradient steps."""
-    column = np.concatenate(rows).astype(np.int64) if rows else np.zeros(0, np.int64)
-    row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    scale = ratio[column]
-    total = n.sum()
-    length = np.bincount(row, scale * scale, len(rows)) + 1
+class Rows(NamedTuple):
+    """Labelled rows packed: the features of all rows one after another, where each row begins, labels, and how often it occurs."""
+
+    features: np.ndarray
+    starts: np.ndarray
+    labels: np.ndarray
+    counts: np.ndarray
+
+    @staticmethod
+    def of(seen: pa.Table) -> Rows:
+        """From (label, features, n)."""
+        packed = seen.column("features").cast(pa.large_binary()).combine_chunks()
+        sizes = np.asarray(pc.binary_length(packed)).astype(np.int64) // 2
+        return Rows(
+            np.frombuffer(b"".join(x.as_buffer() for x in packed), np.uint16), np.concatenate(([0], np.cumsum(sizes))),
+            np.asarray(seen.column("label").combine_chunks()), np.asarray(seen.column("n").combine_chunks()),
+        )
+
+
+def regression(rows: Rows, ratio: np.ndarray, base: float, penalty: float = 1.0, rounds: int = 300) -> tuple[np.ndarray, float]:
+    """Logistic regression on features scaled by ``ratio``; accelerated gradient steps.
+
+    Rows are taken in blocks, so that beside the packed features only a block's numbers are held.
+    """
+    starts, y, n = rows.starts, rows.labels, rows.counts
+    total, count = n.sum(), len(y)
+    cuts = np.searchsorted(starts, np.arange(0, starts[-1], BLOCK)) if starts[-1] else np.zeros(0, np.int64)
+    blocks = [(int(a), int(b)) for a, b in zip(cuts, [*cuts[1:], count]) if a < b] or [(0, count)]
+
+    def block(a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """(row inside the block, feature) of all entries of rows a to b."""
+        return np.repeat(np.arange(b - a), np.diff(starts[a: b + 1])), rows.features[starts[a]: starts[b]]
+
+    length = np.ones(count)
+    for a, b in blocks:
+        row, feature = block(a, b)
+        length[a:b] += np.bincount(row, (ratio * ratio)[feature], b - a)
     step = 4 / (np.average(length, weights=n) * 4 + penalty / total)
-    w, b = np.zeros(len(ratio)), base
-    vw, vb, momentum = w.copy(), b, 1.0
+    w, b0 = np.zeros(len(ratio)), base
+    vw, vb, momentum = w.copy(), b0, 1.0
     for _ in range(rounds):
-        z = np.bincount(row, vw[column] * scale, len(rows)) + vb
-        error = n * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y) / total
-        new_w = vw - step * (np.bincount(column, error[row] * scale, len(ratio)) + penalty / total * vw)
-        new_b = vb - step * error.sum()
+        scaled, slope, bias = vw * ratio, np.zeros(len(ratio)), 0.0
+        for a, b in blocks:
+            row, feature = block(a, b)
+            z = np.bincount(row, scaled[feature], b - a) + vb
+            error = n[a:b] * (1 / (1 + np.exp(-np.clip(z, -50, 50))) - y[a:b]) / total
+            slope += np.bincount(feature, error[row], len(ratio))
+            bias += error.sum()
+        new_w = vw - step * (slope * ratio + penalty / total * vw)
+        new_b = vb - step * bias
         later = (1 + np.sqrt(1 + 4 * momentum * momentum)) / 2
-        vw, vb = new_w + (momentum - 1) / later * (new_w - w), new_b + (momentum - 1) / later * (new_b - b)
-        w, b, momentum = new_w, new_b, later
-    return w * ratio, float(b)
+        vw, vb = new_w + (momentum - 1) / later * (new_w - w), new_b + (momentum - 1) / later * (new_b - b0)
+        w, b0, momentum = new_w, new_b, later
+    return w * ratio, float(b0)
 
 
 def scores(docs: DataFrame, model: Model, text_col: str = "text", name: str = "toxicity") -> DataFrame:

@@ -35,3 +35,14 @@ def test_run_is_the_stages_in_order(spark):
     got = corpus_pipeline.run(spark, SMALL)
     assert {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"} == set(got.columns)
     assert got.count() > 0
+
+
+def test_odd_rows_pass_through_the_whole_chain(spark, odd_documents, no_documents):
+    long = spark.createDataFrame([(50, "long words here " * 30000, "x", 1)], odd_documents.schema)
+    for docs in (odd_documents.unionByName(long), odd_documents.where("false")):
+        now = docs
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            now = stage(spark, now, SMALL)
+            assert now.columns == docs.columns
+        packed = corpus_pipeline.STAGES[-1][1](spark, now, SMALL)
+        assert {r.doc_id for r in packed.collect()} == {r.doc_id for r in now.collect()}

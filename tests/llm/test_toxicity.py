@@ -63,3 +63,61 @@ def test_without_labels_or_documents(spark, no_documents):
     assert {r.toxicity for r in toxicity.scores(docs, toxicity.fit(docs, none, F.lit(True))).collect()} == {0.5}
     assert len({r.toxicity for r in toxicity.scores(docs, toxicity.fit(docs, one, F.lit(True))).collect()}) == 1
     assert toxicity.scores(no_documents, toxicity.fit(no_documents, one, F.lit(True))).count() == 0
+
+
+def features(texts):
+    """The different feature buckets of each text."""
+    out = [set() for _ in texts]
+    for doc, bucket in toxicity.grams([t.encode() for t in texts]):
+        for d, b in zip(doc.tolist(), bucket.tolist()):
+            out[d].add(b)
+    return out
+
+
+def test_ratios_and_weights_against_brute_force(spark, make_words, monkeypatch):
+    """Kept features, their log-count ratios and the fitted weights, from dense sums over all rows."""
+    monkeypatch.setattr(toxicity, "BLOCK", 50)
+    docs, labels = corpus(spark, make_words, 120)
+    known = {}
+    for r in labels.collect():
+        if r.toxic is not None and r.doc_id is not None:
+            known[r.doc_id] = max(known.get(r.doc_id, 0), r.toxic)
+    rows = [(known[r.doc_id], r.text or "") for r in docs.collect() if r.doc_id in known]
+    y, found = np.array([label for label, _ in rows]), features([t for _, t in rows])
+    positives, negatives = int(y.sum()), int((1 - y).sum())
+    ratios = {}
+    for b in set().union(*found):
+        has = np.array([b in f for f in found])
+        one, zero = int(has[y == 1].sum()), int(has[y == 0].sum())
+        both = (one + zero) / len(y)
+        spread = np.sqrt(max(both * (1 - both), 1e-9) * (1 / positives + 1 / negatives))
+        if one + zero >= 3 and abs(one / positives - zero / negatives) / spread > 4:
+            ratios[b] = np.log((one + 1) / (positives + 2) / ((zero + 1) / (negatives + 2)))
+    model = toxicity.fit(docs, labels, F.lit(True))
+    assert model.buckets.tolist() == sorted(ratios) and len(ratios) > 5
+    x = np.array([[ratios[b] if b in f else 0.0 for b in sorted(ratios)] for f in found])
+    w, b0 = np.zeros(x.shape[1]), np.log((positives + 1) / (negatives + 1))
+    vw, vb, momentum = w, b0, 1.0
+    step = 4 / (np.mean((x * x).sum(1) + 1) * 4 + 1 / len(y))
+    for _ in range(300):
+        error = (1 / (1 + np.exp(-(x @ vw + vb))) - y) / len(y)
+        new_w, new_b = vw - step * (x.T @ error + vw / len(y)), vb - step * error.sum()
+        later = (1 + np.sqrt(1 + 4 * momentum ** 2)) / 2
+        vw, vb = new_w + (momentum - 1) / later * (new_w - w), new_b + (momentum - 1) / later * (new_b - b0)
+        w, b0, momentum = new_w, new_b, later
+    assert np.allclose(model.weights, w * [ratios[b] for b in sorted(ratios)], atol=1e-8) and np.isclose(model.intercept, b0)
+
+
+def test_ties_at_the_feature_cut_keep_the_smaller_buckets(spark):
+    rows = [(i, "qqq zzz xxx" if i % 2 else "nothing") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    every = toxicity.fit(docs, labels, F.lit(True))
+    assert toxicity.fit(docs, labels, F.lit(True), max_features=5).buckets.tolist() == every.buckets[:5].tolist()
+
+
+def test_very_long_text(spark, make_words):
+    docs, labels = corpus(spark, make_words, 100)
+    long = spark.createDataFrame([(999, "plain words " * 400_000 + "grumpf wretchling qwolx " * 3)], "doc_id long, text string")
+    found = toxicity.scores(long, toxicity.fit(docs, labels, F.lit(True))).first()
+    assert 0 <= found.toxicity <= 1
