@@ -146,8 +146,20 @@ def near_duplicates(
     return join_unique(marked, named, "fp", "n", marked.count()).select("doc_id", "fp", "component_id")
 
 
-def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, distance: int = 4) -> DataFrame:
-    """One document of each near-duplicate group (the smallest id), all columns unchanged."""
-    found = near_duplicates(docs, id_col, text_col, shingle, distance)
+def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4, distance: int = 4) -> DataFrame:
+    """One document of each near-duplicate group (the smallest id), all columns unchanged.
+
+    A row without id stays only if no document with an id is in its group.
+    """
+    found = stored(near_duplicates(docs, id_col, text_col, shingle, distance), "linked")
     dropped = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    return docs.join(dropped, id_col, "left_anti")
+    named = docs.join(dropped, id_col, "left_anti")
+    if not found.where(F.col("doc_id").isNull()).limit(1).count():
+        return named
+    # Rows without id are known by their text.
+    text = F.sha2(text_or_empty(text_col), 256)
+    loose = docs.where(F.col(id_col).isNull())
+    keyed = fingerprints(loose.select(F.xxhash64(text).alias("mark"), text_or_empty(text_col).alias("text")), "mark", "text", shingle)
+    gone = found.where(F.col("doc_id").isNull() & F.col("component_id").isNotNull()).select("fp").distinct()
+    marks = keyed.join(gone, "fp", "left_semi").select(F.col("doc_id").alias("gone_mark")).distinct()
+    return named.where(F.col(id_col).isNotNull()).unionByName(loose.join(marks, F.xxhash64(text) == F.col("gone_mark"), "left_anti"))

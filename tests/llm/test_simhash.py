@@ -104,3 +104,11 @@ def test_empty_and_extra_columns(spark, no_documents, odd_documents):
     kept = simhash.kept_documents(odd_documents)
     assert kept.columns == odd_documents.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["1", "3", "7", "None"]
+
+
+def test_copies_without_id_follow_a_document_with_one(spark):
+    same = " ".join(f"w{i}" for i in range(40))
+    rows = [(5, same, 0), (None, same, 1), (7, same, 2), (None, "a lone text without id", 3), (None, "a lone text without id", 4), (1, "other words entirely here", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, fp long")
+    kept = simhash.kept_documents(docs)
+    assert kept.columns == docs.columns and sorted(r.fp for r in kept.collect()) == [0, 3, 4, 5]
