@@ -33,19 +33,33 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 class DigestIndex:
     """The persistent table (digest, keep_id), one row per digest ever seen.
 
-    The files stay at ``path``; opening it in a later session declares the table again. ``buckets``
-    must be the same each time.
+    The files stay at ``path``; opening it in a later session declares the table again. The bucket count is
+    kept beside the files and used again, whatever count a later session asks for. One writer appends at
+    a time.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int, id_type: str = "bigint") -> None:
-        self.spark, self.buckets = spark, buckets
+        self.spark, self.buckets = spark, self._kept_buckets(spark, path, buckets)
         self.name = f"digest_index_{uuid.uuid4().hex}"
         where = path.replace("'", "\\'")
         spark.sql(
             f"CREATE TABLE {self.name} (digest STRING, keep_id {id_type}) USING parquet "
-            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {buckets} BUCKETS LOCATION '{where}'"
+            f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{where}'"
         )
 
+    @staticmethod
+    def _kept_buckets(spark: SparkSession, path: str, buckets: int) -> int:
+        """The count the index at ``path`` was begun with; a new index keeps ``buckets``."""
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        fs = hadoop(path).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+        note = f"{path}/_buckets"
+        if fs.exists(hadoop(note)):
+            return int(spark.read.text(note).first()[0])
+        if fs.exists(hadoop(path)) and any(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(hadoop(path))):
+            raise ValueError(f"{path} holds files but no bucket count")
+        spark.createDataFrame([(str(buckets),)], "value string").coalesce(1).write.text(note)
+        return buckets
+
     def rows(self) -> DataFrame:
         """All entries; the scan is already partitioned by digest."""
         return self.spark.table(self.name)
@@ -75,7 +89,7 @@ def register(index: DigestIndex, hashed: DataFrame) -> DataFrame:
         hashed.groupBy("digest").agg(F.min("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")), "heads"
     )
     index.append(index.unseen(heads))
-    known = heads.drop("keep_id").join(index.rows(), "digest")
+    known = stored(heads.drop("keep_id").join(index.rows(), "digest"), "known")
     out = join_unique(hashed, known, "digest", "group_size", hashed.count())
     return out.select("doc_id", "digest", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"))
 
@@ -89,7 +103,10 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     path = index_path or fresh_dir(spark, "digests")
     hashed = stored(digests(docs, id_col, text_col), "hashed")
     index = DigestIndex(spark, path, int(spark.conf.get("spark.sql.shuffle.partitions")), hashed.schema["doc_id"].dataType.simpleString())
-    return register(index, hashed)
+    try:
+        return register(index, hashed)
+    finally:
+        index.close()
 
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

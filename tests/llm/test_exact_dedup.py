@@ -1,6 +1,8 @@
 import hashlib
 import re
 
+import pytest
+
 from pressgauge.llm import exact_dedup
 from pressgauge.session import fresh_dir
 
@@ -59,3 +61,23 @@ def test_copies_without_id_follow_the_decision(spark):
     kept = exact_dedup.kept_documents(docs)
     assert kept.columns == docs.columns
     assert sorted(r.row_ for r in kept.collect()) == [2, 3, 5]
+
+
+def test_an_index_keeps_its_buckets_whatever_the_session_asks_for(spark):
+    path = fresh_dir(spark, "digests-reopened")
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    before = len(spark.catalog.listTables())
+    assert all(r.kept for r in exact_dedup.deduplicate(rows.where("doc_id < 35"), index_path=path).collect())
+    session = spark.newSession()
+    session.conf.set("spark.sql.shuffle.partitions", "3")
+    again = session.createDataFrame([(100 + i, f"text {i}") for i in range(40)], "doc_id long, text string")
+    found = exact_dedup.deduplicate(again, index_path=path).collect()
+    assert sorted(r.doc_id for r in found if r.kept) == [135, 136, 137, 138, 139]
+    assert len(spark.catalog.listTables()) == before
+
+
+def test_files_without_a_bucket_count_are_refused(spark):
+    path = fresh_dir(spark, "digests-foreign")
+    spark.createDataFrame([("a", 1)], "digest string, keep_id long").write.parquet(path)
+    with pytest.raises(ValueError, match="bucket"):
+        exact_dedup.DigestIndex(spark, path, 4)
