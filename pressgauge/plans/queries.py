@@ -744,7 +744,7 @@ def source_roundtrip(i: Inputs) -> DataFrame:
         return df.select(F.lit(name).alias("format"), key.cast("string").alias("key"), value.cast("string").alias("value"))
 
     lines = source.read_lines(spark, f"{base}/lines").groupBy("line").agg(F.count(F.lit(1)).alias("n"))
-    csv = source.read_csv(spark, f"{base}/csv", schemas.SEED)
+    csv = source.read_csv(spark, f"{base}/csv", schemas.SEED, multi_line=False)
     claims = source.read_claims(spark, f"{base}/claims")
     vectors = source.read_vectors(spark, f"{base}/vectors")
     json = source.read_headlines(spark, f"{base}/json", arrays=False)

@@ -22,11 +22,11 @@ def read_lines(spark: SparkSession, path: str, name: str = "line") -> DataFrame:
     return spark.read.text(path).select(F.col("value").alias(name))
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False, multi_line: bool = False) -> DataFrame:
-    """CSV with the given column names and types; quoted fields may hold quotes.
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool = False, multi_line: bool = True) -> DataFrame:
+    """CSV with the given column names and types; quoted fields may hold line feeds and quotes.
 
-    A record is one line, and large files are split over tasks. With ``multi_line`` quoted fields may hold
-    line feeds as well, and a file is one task.
+    Without ``multi_line`` a record is one line, and large files are split over tasks: choose it wherever no
+    field can hold a line feed.
     """
     return (
         spark.read.schema(schema).option("header", header)
@@ -35,8 +35,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, header: bool
 
 
 def read_claims(spark: SparkSession, path: str) -> DataFrame:
-    """Ground truth: page address and boolean label, with a header line."""
-    return read_csv(spark, path, schemas.CLAIM, header=True)
+    """Ground truth: page address and boolean label, with a header line; addresses hold no line feeds."""
+    return read_csv(spark, path, schemas.CLAIM, header=True, multi_line=False)
 
 
 def read_corpus(spark: SparkSession, folder: str) -> DataFrame:
