@@ -3,9 +3,11 @@
 A page is read into blocks of text, each at the path of block elements from the root (names with
 classes). Per path the text and punctuation of all its blocks are added up and divided by their number;
 both ratios are smoothed over the blocks in page order by a Gaussian, fused by multiplication, averaged per path
-again, and paths at or above ``LAMBDA`` standard deviations are content. Paths that the markup itself
-names as menu, header, footer, sidebar, notice, advert, form or comments are left out before that. The
-result is what stands in the articles, or else in the parents, that hold content paths, whichever the parent or article with
+again, and paths at or above ``LAMBDA`` standard deviations are content. Elements that are menus, footers, forms
+and the like by their tag or role are left out before that, and so are those that a class or id names as
+menu, header, sidebar, notice, advert or comments; but a name never takes the page's prose away: if no article is
+found, and one such element, comments apart, holds ``RESCUE`` times as much prose as all that is kept, its name does
+not count. The result is what stands in the articles, or else in the parents, that hold content paths, whichever the parent or article with
 the largest sum of ratios is: headings and short lines stay, whatever their ratio, and so do lists, tables and quotes inside.
 
 Every page is handled whole in the task that reads it. Edge cases: null or empty html, and pages
@@ -26,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pressgauge.llm.common import byte_slices
 
 LAMBDA = 0.8
+RESCUE = 4
 KERNEL = np.exp(-0.5 * np.arange(-2, 3) ** 2)
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？،؛؟]")
 RAW = frozenset("script style noscript template textarea title iframe noembed noframes xmp".split())
@@ -39,9 +42,11 @@ BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dia
 BOILER_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored sponsors promo promotion banner cookie cookies consent gdpr "
     "notice notices notification alert sidebar menu menus nav navbar navigation breadcrumb breadcrumbs header masthead topbar footer foot "
-    "comment comments commentlist disqus reply replies respond share sharing social related recommended recommendations newsletter "
+    "comment comments commentlist disqus reply replies respond response responses share sharing social related recommended recommendations newsletter "
     "subscribe subscription popup modal overlay login signup toolbar pagination pager widget widgets form search".split()
 )
+COMMENT_WORDS = frozenset("comment comments commentlist disqus reply replies respond response responses".split())
+ADVERT_WORDS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored sponsors promo".split())
 STATE_WORDS = frozenset("has with no not without is show open".split())
 CLOSES = {
     "p": frozenset(["p"]), "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
@@ -61,55 +66,81 @@ ATTRIBUTES = re.compile(r"""(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"
 
 
 class Page:
-    """Blocks of a page and the elements that hold them."""
+    """Blocks of a page and the elements that hold them.
+
+    ``boiler`` says whether an element, or one around it, is boilerplate by tag or role; ``named`` is the
+    nearest one that a class or id names as such, itself included, and ``names`` are its words.
+    """
 
     def __init__(self) -> None:
         self.parent, self.tag, self.path, self.boiler = [-1], [""], [0], [False]
+        self.article, self.named, self.names = [-1], [0], {}
         self.paths: dict[tuple[int, str], int] = {}
         self.blocks: list[tuple[int, str]] = []
 
-    def add(self, parent: int, tag: str, label: str, boiler: bool) -> int:
+    def add(self, parent: int, tag: str, label: str, boiler: bool, words: frozenset) -> int:
+        at = len(self.tag)
         self.parent.append(parent)
         self.tag.append(tag)
         self.path.append(self.paths.setdefault((self.path[parent], label), len(self.paths) + 1))
         self.boiler.append(boiler or self.boiler[parent])
-        return len(self.tag) - 1
+        # The outermost article around the element.
+        self.article.append(self.article[parent] if self.article[parent] > 0 or tag not in ARTICLE else at)
+        self.named.append(at if words else self.named[parent])
+        if words:
+            self.names[at] = words
+        return at
 
-    def inside(self, element: int, tags: frozenset) -> int:
-        """The outermost element around ``element``, itself included, with one of the tags; -1 if none."""
-        found = -1
-        while element > 0:
-            if self.tag[element] in tags:
-                found = element
-            element = self.parent[element]
-        return found
+    def charges(self, element: int) -> Iterator[int]:
+        """The elements named as boilerplate around ``element``, from inside out."""
+        at = self.named[element]
+        while at > 0:
+            yield at
+            at = self.named[self.parent[at]]
 
 
 ARTICLE = frozenset(["article", "main"])
 NESTED = frozenset("ul ol li dl dt dd table caption thead tbody tfoot tr td th blockquote figure figcaption pre details summary".split())
+NO_WORDS: frozenset = frozenset()
 HEADINGS = frozenset(["h1", "h2", "h3", "h4", "h5", "h6", "hgroup"])
 
 
 def _is_boiler(tag: str, attributes: dict[str, str], in_article: bool) -> bool:
+    """Boilerplate by tag, role or state."""
     if tag in BOILER_TAGS or "hidden" in attributes or attributes.get("aria-hidden") == "true" or attributes.get("role") in BOILER_ROLES:
         return True
-    if tag == "header":
-        return not in_article
-    if tag in ("html", "body", "main"):
-        return False
+    return tag == "header" and not in_article
+
+
+def _boiler_words(tag: str, attributes: dict[str, str], in_article: bool) -> frozenset:
+    """The first or last words of class and id names that tell of boilerplate."""
+    if tag in ("html", "body", "main", "header"):
+        return NO_WORDS
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".lower().split():
         words = [w for w in re.split(r"[^a-z]+", name) if w]
         if words and words[0] not in STATE_WORDS and (words[-1] in BOILER_WORDS or words[0] in BOILER_WORDS):
-            return not (tag in HEADINGS or (in_article and words[-1] == "header"))
-    return False
+            if tag in HEADINGS or (in_article and words[-1] == "header"):
+                return NO_WORDS
+            return frozenset((words[0], words[-1])) & BOILER_WORDS
+    return NO_WORDS
+
+
+def _attributes(rest: str) -> dict[str, str]:
+    found: dict[str, str] = {}
+    for key, a, b, c in ATTRIBUTES.findall(rest):
+        found.setdefault(key.lower(), a or b or c)
+    return found
 
 
 def parse(source: str) -> Page:
     """Read a page leniently: optional end tags are implied, stray ones ignored."""
     page = Page()
     stack, parts, at = [0], [], 0
+    advert: list | None = None  # an inline advert: its name, how many such are open, and where its text begins
 
     def flush() -> None:
+        nonlocal advert
+        advert = None
         if parts:
             text = " ".join("".join(parts).split())
             if text:
@@ -137,6 +168,11 @@ def parse(source: str) -> Page:
         if found["end"]:
             if name == "br":
                 parts.append(" ")
+            elif advert and name == advert[0]:
+                advert[1] -= 1
+                if not advert[1]:
+                    del parts[advert[2]:]
+                    advert = None
             elif name not in INLINE and name not in RAW:
                 flush()
                 for depth in range(len(stack) - 1, 0, -1):
@@ -151,6 +187,10 @@ def parse(source: str) -> Page:
                 parts.append(" " if parts else "")
             continue
         if name in INLINE:
+            if advert and name == advert[0]:
+                advert[1] += 1
+            elif not advert and name not in VOID and "d" in found["rest"].lower() and _boiler_words(name, _attributes(found["rest"]), True) & ADVERT_WORDS:
+                advert = [name, 1, len(parts)]
             continue
         if name == "br":
             parts.append(" ")
@@ -163,13 +203,11 @@ def parse(source: str) -> Page:
         for _ in range(3 if name in CLOSES and name != "p" else 0):
             close(CLOSES[name])
         rest = found["rest"]
-        attributes = {}
-        if rest:
-            for key, a, b, c in ATTRIBUTES.findall(rest):
-                attributes.setdefault(key.lower(), a or b or c)
-        in_article = page.inside(stack[-1], ARTICLE) > 0
+        attributes = _attributes(rest) if rest else {}
+        in_article = page.article[stack[-1]] > 0
         label = name + "".join("." + c for c in sorted(attributes.get("class", "").split()))
-        stack.append(page.add(stack[-1], name, label, _is_boiler(name, attributes, in_article)))
+        words = _boiler_words(name, attributes, in_article) if attributes else NO_WORDS
+        stack.append(page.add(stack[-1], name, label, _is_boiler(name, attributes, in_article), words))
         if rest.endswith("/") and name in ("svg", "path", "g", "use"):
             stack.pop()
     if at < len(source):
@@ -198,18 +236,42 @@ def content_paths(page: Page, blocks: list[int]) -> dict[int, float]:
     return {int(p): float(r) for p, r in zip(which, ratio) if r >= threshold}
 
 
+def _prose(text: str) -> int:
+    """The length of a block that reads like sentences."""
+    return len(text) if len(text) >= 60 and len(PUNCTUATION.findall(text)) >= 2 else 0
+
+
 def main_text(source: str) -> str:
     """The article of one page: its blocks, joined by an empty line."""
     page = parse(source)
-    blocks = [i for i, (element, _) in enumerate(page.blocks) if not page.boiler[element]]
+    open_blocks = [i for i, (element, _) in enumerate(page.blocks) if not page.boiler[element]]
+    pardoned: set[int] = set()
+    while True:
+        found = _chosen(page, [i for i in open_blocks if all(n in pardoned for n in page.charges(page.blocks[i][0]))])
+        if any(page.article[page.blocks[i][0]] > 0 for i in found):
+            return "\n\n".join(page.blocks[i][1] for i in found)
+        held: dict[int, int] = {}
+        for i in open_blocks:
+            element, text = page.blocks[i]
+            charges = [n for n in page.charges(element) if n not in pardoned]
+            if charges and not any(page.names[n] & COMMENT_WORDS for n in charges):
+                held[charges[-1]] = held.get(charges[-1], 0) + _prose(text)
+        most = max(held, key=held.__getitem__, default=0)
+        if not most or held[most] <= RESCUE * sum(_prose(page.blocks[i][1]) for i in found):
+            return "\n\n".join(page.blocks[i][1] for i in found)
+        pardoned.add(most)
+
+
+def _chosen(page: Page, blocks: list[int]) -> list[int]:
+    """The blocks that hold the article, among the given ones."""
     if not blocks:
-        return ""
+        return []
     content = content_paths(page, blocks)
     weight: dict[int, float] = {}
     holders = []
     for i in blocks:
         element, _ = page.blocks[i]
-        holder = page.inside(element, ARTICLE)
+        holder = page.article[element]
         if holder < 0:
             holder = page.parent[element] if page.tag[element] not in ("div", "section", "td", "body") else element
         holders.append(holder)
@@ -223,7 +285,7 @@ def main_text(source: str) -> str:
             holder = page.parent[holder]
         return holder in kept
 
-    return "\n\n".join(page.blocks[i][1] for i, holder in zip(blocks, holders) if holds(holder))
+    return [i for i, holder in zip(blocks, holders) if holds(holder)]
 
 
 def extract(pages: DataFrame, html_col: str = "html", name: str = "text") -> DataFrame:

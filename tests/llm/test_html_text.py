@@ -1,4 +1,7 @@
 import re
+import time
+
+import pytest
 
 from pressgauge.llm import html_text
 
@@ -84,3 +87,45 @@ def test_odd_rows(spark):
     assert got.columns == ["page_id", "url", "text"]
     assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, [(1, "u", ""), (2, None, ""), (2, "u", LONG), (2, "u", LONG), (None, "u", "x" * 100_000)]))
     assert html_text.extract(spark.createDataFrame([], "page_id long, html string")).count() == 0
+
+
+PROSE = "A long sentence about the town, its river and its mills. Another one follows, no shorter than the first! And a third."
+
+
+def whole_page(body):
+    return f"<html><head><title>t</title></head><body>{body}</body></html>"
+
+
+def prose_paragraphs(count=4):
+    return "".join(f"<p>{PROSE} Number {i}.</p>" for i in range(count))
+
+
+EVERYTHING = "\n\n".join(f"{PROSE} Number {i}." for i in range(4))
+
+
+@pytest.mark.parametrize("before, after", [
+    ('<article class="post ad-free">', "</article>"), ('<div class="header-wrap-post">', "</div>"),
+    ('<div id="content" class="search-friendly">', "</div>"), ('<div class="nav"><div class="promo"><section>', "</section></div></div>"),
+    ("<div>", "</div>"), ("", ""),
+])
+def test_a_name_never_takes_the_prose_away(before, after):
+    for extra in ("", "<p>Short line outside.</p>", '<ul class="menu"><li>Home</li><li>News, sport, arts.</li></ul><div class="cookie-notice">We use cookies.</div>'):
+        found = html_text.main_text(whole_page(f"{before}{prose_paragraphs()}{after}{extra}"))
+        assert EVERYTHING in found and "cookies" not in found and "Home" not in found
+
+
+def test_comments_and_adverts_go_inside_an_article_too():
+    talk = "".join(f"<p>I think so too, and so does my neighbour, dear reader. Talk {i}!</p>" for i in range(40))
+    for name in ("user-responses", "comments", "reply-list"):
+        found = html_text.main_text(whole_page(f'<article>{prose_paragraphs()}<section class="{name}">{talk}</section></article>'))
+        assert found == EVERYTHING
+        assert html_text.main_text(whole_page(f'<div><div>{prose_paragraphs()}</div><div id="{name}">{talk}</div></div>')) == EVERYTHING
+    line = f'<p>{PROSE} <span class="advert">Buy <span>now</span> here!</span>Number 0.</p>'
+    assert html_text.main_text(whole_page(f"<article>{line}{prose_paragraphs()[prose_paragraphs().index('</p>') + 4:]}</article>")) == EVERYTHING
+    assert html_text.main_text(whole_page(f'<article>{prose_paragraphs()}<p>See <span class="road">the <b>d</b>river</span>.</p></article>')) == f"{EVERYTHING}\n\nSee the driver."
+
+
+def test_deep_pages_take_linear_time():
+    start = time.perf_counter()
+    assert html_text.main_text("<div>" * 100_000 + PROSE) == PROSE
+    assert time.perf_counter() - start < 5
