@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pressgauge.session import ship_package
@@ -13,6 +14,7 @@ from pressgauge.session import ship_package
 SPACES = r"[\x20\x09-\x0D]+"
 HOT_SHARES = 1024
 SLICE_BYTES = 2 << 20
+LONG_WORD = 64
 _M = 0x9E3779B97F4A7C15 | 1
 
 
@@ -82,8 +84,9 @@ class Words:
     """The words of several texts, laid out in one buffer with single spaces.
 
     ``starts`` and ``ends`` are byte offsets of the words, ``doc`` the index of each word's text.
-    ``span(i, n)`` hashes the n words from each of ``i`` by a prefix polynomial modulo 2**64: equal
-    word sequences get equal hashes wherever they stand.
+    ``span(i, n)`` hashes the n words from each of ``i``: equal word sequences get equal hashes wherever they
+    stand. Words are hashed one by one, those over ``LONG_WORD`` bytes by XXH64, as a polynomial modulo 2**64
+    has known collisions between long strings; a few mixed word hashes are then joined by one.
     """
 
     def __init__(self, texts: list[bytes], lower: bool = False) -> None:
@@ -98,17 +101,23 @@ class Words:
         self.ends = np.concatenate((gaps, [len(raw)])) if some else np.zeros(0, np.int64)
         self._prefix: np.ndarray | None = None
 
-    def _hashed(self) -> None:
+    def _word_hashes(self) -> np.ndarray:
         raw = np.frombuffer(self.buffer, np.uint8)
-        n = len(raw)
         letters = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_M))
-        powers = np.ones(n + 1, np.uint64)
-        powers[1:] = np.uint64(_M)
-        np.cumprod(powers, out=powers)
-        self._prefix = np.zeros(n + 1, np.uint64)
-        np.cumsum(letters[raw] * powers[:n], out=self._prefix[1:])
-        powers[1:] = np.uint64(pow(_M, -1, 1 << 64))
-        self._inverse = np.cumprod(powers, out=powers)
+        powers, inverse = _powers(len(raw))
+        prefix = np.zeros(len(raw) + 1, np.uint64)
+        np.cumsum(letters[raw] * powers[:-1], out=prefix[1:])
+        sizes = self.ends - self.starts
+        out = mix((prefix[self.ends] - prefix[self.starts]) * inverse[self.starts] + sizes.astype(np.uint64))
+        for i in np.flatnonzero(sizes > LONG_WORD).tolist():
+            out[i] = xxhash.xxh64_intdigest(self.buffer[self.starts[i]: self.ends[i]])
+        return out
+
+    def _hashed(self) -> None:
+        words = self._word_hashes()
+        powers, self._inverse = _powers(len(words))
+        self._prefix = np.zeros(len(words) + 1, np.uint64)
+        np.cumsum(words * powers[:-1], out=self._prefix[1:])
 
     def valid(self, n: int) -> np.ndarray:
         """Word indexes from which n words lie in one text."""
@@ -119,8 +128,17 @@ class Words:
         """Hashes of the n words from each of ``first``."""
         if self._prefix is None:
             self._hashed()
-        s, e = self.starts[first], self.ends[first + n - 1]
-        return mix((self._prefix[e] - self._prefix[s]) * self._inverse[s] + np.uint64(n))
+        return mix((self._prefix[first + n] - self._prefix[first]) * self._inverse[first] + np.uint64(n))
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the multiplier from 0 to n modulo 2**64, and of its inverse."""
+    out = []
+    for base in (_M, pow(_M, -1, 1 << 64)):
+        powers = np.full(n + 1, np.uint64(base))
+        powers[0] = 1
+        out.append(np.cumprod(powers, out=powers))
+    return out[0], out[1]
 
 
 def pair_key(h: np.ndarray, doc: np.ndarray) -> np.ndarray:

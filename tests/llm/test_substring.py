@@ -76,3 +76,22 @@ def test_repeated_rows_nulls_and_columns(spark, no_documents):
     docs = spark.createDataFrame(rows, "doc_id long, text string, row string")
     got = sorted(map(tuple, substring.cleaned_documents(docs).collect()), key=str)
     assert got == sorted([(2, text, "r"), (2, text, "s"), (None, text, "t"), (3, "own", None), (4, "  a  b ", "u"), (5, None, "v")], key=str)
+
+
+def test_long_words_that_collide_as_polynomials_stay_apart(spark):
+    """A Thue-Morse word and its complement have one hash as polynomials modulo 2**64, whatever the base."""
+    word = "a"
+    while len(word) < 4096:
+        word += "".join("b" if c == "a" else "a" for c in word)
+    other = "".join("b" if c == "a" else "a" for c in word)
+    shared = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{shared} {word}"), (2, f"{shared} {other}"), (3, f"{shared} {word}")]
+    found = {r.doc_id: r.n_removed for r in substring.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: 0, 2: 0, 3: 13}
+
+
+def test_very_long_text(spark, make_words):
+    words = make_words(3, 300_000, 500)
+    rows = [(1, " ".join(words)), (2, " ".join(["new", *words[1000:1040], "end"]))]
+    found = {r.doc_id: r.n_removed for r in substring.repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[2] == 40
