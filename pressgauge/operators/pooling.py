@@ -2,7 +2,8 @@
 
 With v = tanh(xW + b) and s = v . u, a group pools to sum(exp(s) x) / sum(exp(s)). As |s| cannot
 exceed the sum of |u|, that constant takes the place of the group maximum in the exponent, so one
-aggregation with map-side combine does it and a group of any size is never gathered.
+aggregation with map-side combine does it and a group of any size is never gathered. It adds up one number per
+dimension, which Spark keeps in fixed-width rows: one row per group in memory, and no input row is sorted or spilled.
 """
 
 from __future__ import annotations
@@ -12,8 +13,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressgauge.operators.joins import lookup
@@ -63,15 +62,16 @@ def _powers(scored: DataFrame, group: Sequence[str], attention: Attention) -> Da
     return scored.join(tops, list(group)).withColumn("_e", F.exp(F.col("_s") - F.col("_top"))).drop("_top")
 
 
-def _means(weighted: DataFrame, group: Sequence[str], vector: str, out: str) -> DataFrame:
-    rows = weighted.withColumn("_v", array_to_vector(F.col(vector).cast("array<double>")))
-    mean = Summarizer.mean(F.col("_v"), F.col("_e"))
-    return rows.groupBy(*group).agg(mean.alias("_m")).select(*group, vector_to_array("_m").alias(out))
+def _means(weighted: DataFrame, group: Sequence[str], vector: str, attention: Attention, out: str) -> DataFrame:
+    x = F.col(vector).cast("array<double>")
+    sums = [F.sum(F.col("_e") * F.get(x, F.lit(k))).alias(f"_{k}") for k in range(len(attention.w))]
+    totals = weighted.groupBy(*group).agg(F.sum("_e").alias("_total"), *sums)
+    return totals.select(*group, F.array(*[F.col(f"_{k}") / F.col("_total") for k in range(len(sums))]).alias(out))
 
 
 def pool(df: DataFrame, group: Sequence[str], vector: str, attention: Attention, out: str = "pooled") -> DataFrame:
     """One pooled vector per group."""
-    return _means(_powers(_scored(df, vector, attention), group, attention), group, vector, out)
+    return _means(_powers(_scored(df, vector, attention), group, attention), group, vector, attention, out)
 
 
 def weights(df: DataFrame, group: Sequence[str], vector: str, attention: Attention, out: str = "alpha") -> DataFrame:
@@ -102,7 +102,7 @@ def sentence_vectors(
     scored = _scored(table.select(F.col("idx").cast("int").alias("idx"), "vector"), "vector", words)
     found = lookup(index, scored, "idx", small=small)
     group = [*ids, "sent_pos"]
-    return _means(_powers(found, group, words), group, "vector", "vector")
+    return _means(_powers(found, group, words), group, "vector", words, "vector")
 
 
 def document_vectors(

@@ -164,3 +164,14 @@ def test_word_sequence_feeds_the_matrix(spark, vocab):
     df = spark.createDataFrame([(1, "A, b. b's! a")], "id int, text string")
     words = features.word_rows(df, ["id"], text_fn.sentences(F.col("text")))
     assert [r.token for r in words.orderBy("sent_pos", "pos").collect()] == ["a", "b", "b's", "a"]
+
+
+def test_pooling_keeps_one_fixed_width_row_per_group(spark):
+    a = attention(4)
+    x = np.random.default_rng(5).normal(size=(900, 4))
+    df = spark.createDataFrame([(i % 300, [float(v) for v in row]) for i, row in enumerate(x)], "g int, v array<double>")
+    pooled = pooling.pool(df, ["g"], "v", a)
+    # More than 128 groups, from which on an object aggregation sorts its input rows.
+    plan = pooled._jdf.queryExecution().executedPlan().toString()
+    assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan
+    assert {r.g: r.pooled for r in pooled.collect()} == {g: pytest.approx(expected_pool(x[g::300], a), abs=1e-9) for g in range(300)}
