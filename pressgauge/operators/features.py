@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pressgauge.functions import text as text_fn, vectors
 from pressgauge.operators.joins import lookup, unique
+from pressgauge.operators.tokens import dealt_by_id
 
 
 def vocabulary_from_lines(lines: DataFrame, line: str = "line", rank: str = "rank") -> DataFrame:
@@ -34,7 +35,8 @@ def word_rows(docs: DataFrame, ids: Sequence[str], sentences: Column, max_senten
     Documents are shuffled by id before they are taken apart: numbering words and regrouping them
     by sentence and document then needs no further shuffle.
     """
-    parts = docs.select(*ids, (sentences if max_sentences is None else F.slice(sentences, 1, max_sentences)).alias("_s")).repartition(*ids)
+    lists = docs.select(*ids, (sentences if max_sentences is None else F.slice(sentences, 1, max_sentences)).alias("_s"))
+    parts = dealt_by_id(lists, ids, F.array_join("_s", " "))
     kept = parts.select(*ids, F.posexplode_outer("_s").alias("sent_pos", "sentence"))
     return kept.select(*ids, "sent_pos", F.posexplode(text_fn.word_sequence(F.col("sentence"))).alias("pos", "token"))
 

@@ -17,6 +17,23 @@ from pressgauge.operators.joins import BROADCAST_ROWS, lookup, unique
 from pressgauge.sinks.files import stored
 
 
+#: Text that one task takes apart: its tokens, counted by id, fill some hundred MB.
+PART_BYTES = 16 << 20
+
+
+def dealt_by_id(df: DataFrame, ids: Sequence[str], text: Column | str) -> DataFrame:
+    """The rows dealt by id to as many tasks as their measured text needs, so that a task's share does not grow with the input.
+
+    A stream cannot be measured, and keeps the session's number of partitions.
+    """
+    if df.isStreaming:
+        return df.repartition(*ids)
+    size = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    session = df.sparkSession
+    least = min(session.sparkContext.defaultParallelism, int(session.conf.get("spark.sql.shuffle.partitions")))
+    return df.repartition(max(1, least, -(-size // PART_BYTES)), *ids)
+
+
 def token_rows(
     df: DataFrame,
     ids: Sequence[str],
@@ -30,7 +47,7 @@ def token_rows(
     ``by_id`` shuffles the texts by id first. Do so when the tokens are regrouped by id later: that
     step then needs no shuffle, and a text is far smaller than its token rows.
     """
-    source = df.select(*ids, text).repartition(*ids) if by_id else df
+    source = dealt_by_id(df.select(*ids, text), ids, text) if by_id else df
     return source.select(*ids, F.posexplode(tokenizer(F.col(text))).alias("pos", "token"))
 
 

@@ -97,3 +97,13 @@ def test_a_day_is_published_once(spark, tmp_path):
             daily.publish_seeds(spark, f"{tmp_path}/seeds", f"{tmp_path}/s", f"{tmp_path}/n", day)
     assert Counter(r.key for r in folder_topic.read(spark, f"{tmp_path}/s").collect()) == {"a": 2, "b": 2}
     assert {r.value for r in folder_topic.read(spark, f"{tmp_path}/n").collect()} == {'{"news_id":"a","news_url":"u1"}', '{"news_id":"b","news_url":"u2"}'}
+
+
+def test_texts_are_dealt_by_their_measured_size(spark, monkeypatch):
+    monkeypatch.setattr(tokens, "PART_BYTES", 200)
+    docs = spark.createDataFrame([(i % 400, "a b a") for i in range(800)] + [(1, None)], "doc_id int, text string")
+    rows = tokens.token_rows(docs, ["doc_id"], by_id=True)
+    assert rows.rdd.getNumPartitions() == 20
+    counted = tokens.term_counts(rows, ["doc_id"])
+    assert {(r.doc_id, r.token): r.n for r in counted.collect()} == {(i, t): n for i in range(400) for t, n in (("a", 4), ("b", 2))}
+    assert tokens.token_rows(docs.where("false"), ["doc_id"], by_id=True).collect() == []
