@@ -3,7 +3,8 @@
 A document is an array of sentence vectors; its logit is ``pooled . o + c`` with ``pooled`` as in
 :mod:`pressgauge.operators.pooling`. In each round every task adds up the gradient of its documents for
 the current parameters, the sums are added in two levels, and the driver makes one Adam step. What comes to
-the driver is one vector as long as the parameters.
+the driver is one vector as long as the parameters. Documents are read as one matrix of sentence vectors per slice of
+an Arrow batch, and the softmax over each document is done by runs of its rows.
 """
 
 from __future__ import annotations
@@ -13,12 +14,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pressgauge.operators.pooling import Attention
 
+#: Sentence vectors that a task holds as one matrix, unless one document has more.
+SLICE_VECTORS = 1 << 15
+
 
 @dataclass(frozen=True)
 class Model:
@@ -70,30 +75,73 @@ class Model:
         return np.concatenate([p.ravel() for p in parts]), loss, z
 
 
+    def pooled(self, x: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Units, softmax weights, document of each sentence vector, and pooled vector of each document of ``sizes`` rows of ``x``."""
+        owner = np.repeat(np.arange(len(sizes)), sizes)
+        v = np.tanh(x @ self.w + self.b)
+        s = v @ self.u
+        out = np.zeros((len(sizes), len(self.o)))
+        some = np.flatnonzero(sizes)
+        if not len(some):
+            return v, s, owner, out
+        first = (np.cumsum(sizes) - sizes)[some]
+        a = np.exp(s - np.repeat(np.maximum.reduceat(s, first), sizes[some]))
+        a /= np.repeat(np.add.reduceat(a, first), sizes[some])
+        out[some] = np.add.reduceat(a[:, None] * x, first)
+        return v, a, owner, out
+
+    def logits(self, x: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The logits of documents that hold ``sizes`` rows of ``x`` each."""
+        return self.pooled(x, sizes)[3] @ self.o + self.c
+
+    def gradients(self, x: np.ndarray, sizes: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+        """Summed gradient and loss of documents, as :meth:`gradient` gives them one by one."""
+        v, a, owner, pooled = self.pooled(x, sizes)
+        z = pooled @ self.o + self.c
+        error = 1 / (1 + np.exp(-np.clip(z, -50, 50))) - y
+        loss = float((np.logaddexp(0, z) - y * z).sum())
+        ds = error[owner] * a * (x @ self.o - (pooled @ self.o)[owner])
+        dv = ds[:, None] * self.u * (1 - v * v)
+        parts = (x.T @ dv, dv.sum(axis=0), v.T @ ds, error @ pooled, [error.sum()])
+        return np.concatenate([np.ravel(p) for p in parts]), loss
+
+
 def initial(width: int, units: int, seed: int = 7) -> Model:
     """Small repeatable parameters."""
     rng = np.random.default_rng(seed)
     return Model(rng.normal(0, 0.1, (width, units)), rng.normal(0, 0.1, units), rng.normal(0, 0.1, units), rng.normal(0, 0.1, width), 0.0)
 
 
-def _documents(batch: pa.RecordBatch, vectors: str) -> Iterator[np.ndarray]:
-    for doc in batch.column(batch.schema.get_field_index(vectors)).to_pylist():
-        yield np.array([x for x in doc or [] if x is not None], np.float64)
+def _documents(batch: pa.RecordBatch, vectors: str, width: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """Slices of the rows with the matrix of their sentence vectors and its rows per document; null lists are empty, null vectors left out."""
+    column = batch.column(batch.schema.get_field_index(vectors))
+    lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(lengths)
+    start = 0
+    while start < len(column):
+        # At least one document, else as many as fit.
+        stop = max(start + 1, int(np.searchsorted(ends, (ends[start - 1] if start else 0) + SLICE_VECTORS, "right")))
+        own = lengths[start:stop]
+        found = column.slice(start, stop - start).flatten()
+        owner = np.repeat(np.arange(stop - start), own)[found.is_valid().to_numpy(zero_copy_only=False)]
+        x = found.drop_null().flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(-1, width)
+        yield slice(start, stop), x, np.bincount(owner, minlength=stop - start)
+        start = stop
 
 
 def gradient(docs: DataFrame, model: Model, vectors: str = "vectors", label: str = "label") -> tuple[np.ndarray, float, int]:
     """Summed gradient, summed loss and count of all documents, added up in two levels."""
-    size = len(model.flat())
+    size, width = len(model.flat()), len(model.o)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(size + 2), 0
         for batch in batches:
-            labels = batch.column(batch.schema.get_field_index(label)).to_pylist()
-            for x, y in zip(_documents(batch, vectors), labels):
-                own, loss, _ = model.gradient(x, float(y))
+            labels = batch.column(batch.schema.get_field_index(label)).to_numpy(zero_copy_only=False).astype(np.float64)
+            for part, x, sizes in _documents(batch, vectors, width):
+                own, loss = model.gradients(x, sizes, labels[part])
                 total[:size] += own
-                total[size:] += loss, 1
-                rows += 1
+                total[size:] += loss, len(sizes)
+                rows += len(sizes)
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array([total.tolist()], pa.list_(pa.float64()))], ["sums"])
 
@@ -135,7 +183,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str], vectors: str = "vect
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            z = np.array([model.logit(x) for x in _documents(batch, vectors)], np.float64)
+            z = np.concatenate([np.zeros(0), *(model.logits(x, sizes) for _, x, sizes in _documents(batch, vectors, len(model.o)))])
             kept = [batch.column(batch.schema.get_field_index(k)) for k in keep]
             yield pa.RecordBatch.from_arrays([*kept, pa.array(1 / (1 + np.exp(-np.clip(z, -50, 50))))], [*keep, "probability"])
 

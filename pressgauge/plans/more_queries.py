@@ -462,10 +462,13 @@ BODIES["direction_pool"] = f"""
 def attention_train(i: Inputs) -> DataFrame:
     """Attention and output layer fitted on the sentence vectors of labelled documents, with the loss on each side of the split."""
     table = features.vector_table(i.vocab(), i.vectors(), WIDTH)
-    index = features.index_rows(features.word_rows(i.table("documents"), ["doc_id"], _sentences()), i.vocab(), ["doc_id"], small=True)
+    labels = i.table("labels").where(F.col("quality").isNotNull()).select("doc_id", (1 - F.col("quality")).alias("label"))
+    # Only labelled documents are fitted on or reported: the others need no vectors.
+    wanted = i.table("documents").join(labels, "doc_id", "left_semi")
+    index = features.index_rows(features.word_rows(wanted, ["doc_id"], _sentences()), i.vocab(), ["doc_id"], small=True)
     sentences = pooling.sentence_vectors(index, table, ["doc_id"], WORDS)
     docs = attention_training.sentence_arrays(sentences, ["doc_id"])
-    labelled = docs.join(i.table("labels").where(F.col("quality").isNotNull()).select("doc_id", (1 - F.col("quality")).alias("label")), "doc_id")
+    labelled = docs.join(labels, "doc_id")
     rows = sink.stored(features.with_folds(labelled, "doc_id"), "sentence-arrays")
     training, test = features.split_fold(rows, 0)
     start = attention_training.initial(WIDTH, 4)

@@ -138,6 +138,20 @@ def test_gradient_is_the_sum_over_documents(separable):
     assert attention_training.train(separable.where("false"), 5)[1] == []
 
 
+def test_documents_are_read_as_matrices_in_slices(spark, separable, monkeypatch):
+    monkeypatch.setattr(attention_training, "SLICE_VECTORS", 3)
+    model = attention_training.initial(5, 3)
+    odd = spark.createDataFrame([(2000, [None, [1.0] * 5, None], 1, 0), (2001, [None], 0, 0)], separable.schema)
+    batch = separable.unionByName(odd).select("vectors", "label").coalesce(1).toArrow().to_batches()[0].slice(1)
+    parts = list(attention_training._documents(batch, "vectors", 5))
+    assert sum(len(sizes) for _, _, sizes in parts) == batch.num_rows and max(len(x) for _, x, _ in parts) <= 5 and len(parts) > 50
+    y = np.array(batch.column(1).to_pylist(), float)
+    single = [model.gradient(np.array([v for v in d or [] if v is not None], float), t) for d, t in zip(batch.column(0).to_pylist(), y)]
+    found = [model.gradients(x, sizes, y[part]) for part, x, sizes in parts]
+    assert np.allclose(sum(f[0] for f in found), sum(s[0] for s in single)) and np.isclose(sum(f[1] for f in found), sum(s[1] for s in single))
+    assert np.allclose(np.concatenate([model.logits(x, sizes) for _, x, sizes in parts]), [s[2] for s in single])
+
+
 def test_prediction_pools_as_the_pooling_operator(spark, separable):
     model = attention_training.initial(5, 3)
     found = {r.doc_id: r.probability for r in attention_training.predict(separable, model, ["doc_id"]).collect()}
