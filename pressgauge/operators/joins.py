@@ -61,13 +61,15 @@ def lookup(
     small: bool | None = None,
     salt: Column | None = None,
     spread: int = SPREAD,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Join facts to a lookup table.
 
     A table proven small (``small=True`` where the plan bounds it, else measured) is broadcast, so
     the facts are not shuffled. Beyond that both sides are shuffled by key; rows of hot keys are
     spread over ``spread`` salts, and only the hot keys of the table are copied to each of them.
-    ``salt`` must be a repeatable expression over the facts; by default it hashes the whole row.
+    ``salt`` must be a repeatable expression over the facts; by default it hashes the whole row. ``hot`` are the
+    hashes of the hot keys where they are known already: else the facts are computed once more to find them.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"lookup does not do {how} joins")
@@ -76,7 +78,8 @@ def lookup(
         small = is_small(table)
     if small:
         return facts.join(F.broadcast(table), keys, how)
-    hot = [] if facts.isStreaming else hot_keys(facts, keys)
+    if hot is None:
+        hot = [] if facts.isStreaming else hot_keys(facts, keys)
     if not hot:
         return facts.join(table, keys, how)
     chosen = salt if salt is not None else F.xxhash64(*[F.col(c) for c in _hashable(facts)])

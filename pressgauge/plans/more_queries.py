@@ -338,9 +338,14 @@ BODIES["vocabulary_all"] = "select token, n, row_number() over (order by n desc,
 @register
 def term_counts_all(i: Inputs) -> DataFrame:
     """Count vectors over the whole vocabulary, by word number; no word goes through the driver."""
-    numbers = tokens.rank_all(_word_counts(i)).select("token", "idx")
-    counted = tokens.term_counts(tokens.token_rows(i.table("documents"), ["doc_id"]), ["doc_id"])
-    return joins.lookup(counted, numbers, "token", salt=F.xxhash64("doc_id")).select("doc_id", "idx", "n")
+    ranked = tokens.rank_all(_word_counts(i))
+    # Texts are shuffled by id, not their words.
+    counted = tokens.term_counts(tokens.token_rows(i.table("documents"), ["doc_id"], by_id=True), ["doc_id"])
+    # The counts tell the frequent words: at most one in each share of all occurrences.
+    total = ranked.agg(F.sum("n")).first()[0] or 0
+    frequent = ranked.where(F.col("n") >= F.lit(max(1.0, joins.hot_share(counted) * total))).select(F.xxhash64("token").alias("key"))
+    hot = [r.key for r in frequent.collect()]
+    return joins.lookup(counted, ranked.select("token", "idx"), "token", salt=F.xxhash64("doc_id"), hot=hot).select("doc_id", "idx", "n")
 
 
 BODIES["term_counts_all"] = """

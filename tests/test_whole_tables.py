@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 from conftest import SMALL
 from pressgauge.functions import text as text_fn, vectors
-from pressgauge.operators import credibility, tokens
+from pressgauge.operators import credibility, joins, tokens
 from pressgauge.plans import daily
 from pressgauge.sinks import documents, files as sink
 from pressgauge.sources import folder_topic
@@ -107,3 +107,13 @@ def test_texts_are_dealt_by_their_measured_size(spark, monkeypatch):
     counted = tokens.term_counts(rows, ["doc_id"])
     assert {(r.doc_id, r.token): r.n for r in counted.collect()} == {(i, t): n for i in range(400) for t, n in (("a", 4), ("b", 2))}
     assert tokens.token_rows(docs.where("false"), ["doc_id"], by_id=True).collect() == []
+
+
+def test_whole_counts_shuffle_texts_and_compute_them_once(spark, monkeypatch):
+    query = driver.queries()["term_counts_all"]
+    expected = sorted(map(tuple, query(spark, SMALL).collect()))
+    monkeypatch.setattr(joins, "is_small", lambda table: False)
+    monkeypatch.setattr(joins, "hot_keys", lambda *a: pytest.fail("the counts are computed once more"))
+    found = query(spark, SMALL)
+    assert not [line for line in found._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning(doc_id" in line and "token" in line]
+    assert sorted(map(tuple, found.collect())) == expected
