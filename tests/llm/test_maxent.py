@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -176,3 +177,71 @@ def test_empty_table_and_no_training(spark, no_documents):
     docs = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
     row = maxent.score(docs, maxent.fold() >= 0).first()
     assert (row.held_out, row.n_tokens, row.n_known, row.train_tokens) == (True, 3, 0, 0) and abs(row.base_score) < 1e-9
+
+
+def spread(vocab, near):
+    """A vocabulary whose words beyond the first ``near`` are not at hand, and the (token, count) of these."""
+    rest = list(zip(vocab.words, vocab.counts))[near:]
+    slots = np.array([maxent.shared_slot(w, vocab.hashes) for w, _ in rest])
+    bits, tail = maxent.depths(np.bincount(slots, minlength=vocab.slots - vocab.own))
+    vocab = vocab._replace(words=vocab.words[:near], counts=vocab.counts[:near], bits=bits, tail=tail)
+    far = np.zeros(((1 << bits).sum(), 2), np.int64)
+    for (w, n), s in zip(rest, slots):
+        far[maxent.first_buckets(vocab)[s] + (zlib.crc32(w) >> 32 - int(bits[s]))] += n, 1
+    return vocab._replace(far=far), rest
+
+
+def test_every_token_of_a_shared_slot_is_an_outcome_and_all_add_up_to_one(monkeypatch):
+    monkeypatch.setattr(maxent, "BUCKETS", 200)
+    rng = random.Random(5)
+    vocab, rest = spread(vocabulary([f"w{int(rng.paretovariate(0.4)) % 9000}".encode() for _ in range(30000)]), 900)
+    assert len(rest) > 1000 and vocab.tail.max() > 1
+    weights, reader = drawn(vocab), maxent.Reader(vocab)
+    weights = weights._replace(deep=np.random.default_rng(6).normal(size=weights.deep.shape).astype("f4"))
+    near = vocab.words[vocab.own:]
+    codes = []
+    for w, n in rest:
+        s = maxent.shared_slot(w, vocab.hashes)
+        codes.append(((int(maxent.first_buckets(vocab)[s]) + (zlib.crc32(w) >> 32 - int(vocab.bits[s])) << 32) + zlib.crc32(w), w, n, s))
+    codes.sort()
+    code, slot = np.array([c[0] for c in codes]), np.array([c[3] for c in codes])
+    bucket = code >> 32
+    lead, others = maxent.inside_buckets(code, np.append(True, bucket[1:] != bucket[:-1]), np.array([c[2] for c in codes]), vocab.bits[slot], vocab.tail[slot])
+    shares = []
+    for history in (b"w1", b"w2", codes[0][1], b"unheard"):
+        read = reader.read(pa.array([w for t in near + [c[1] for c in codes] for w in (history, t)], pa.binary()), np.full(len(near) + len(codes), 2))
+        way, tilts = maxent.log_ways(reader, weights, read)
+        way = way[1::3]
+        tilts = tilts[-len(codes):] if history in vocab.words[:900] else tilts[-2 * len(codes):][1::2]
+        p = np.zeros(vocab.slots - vocab.own)
+        np.add.at(p, reader.trees.outcome[vocab.own:] - vocab.own - 1, np.exp(way[: len(near)]))
+        # A far token: its bucket as the unknown one, then what the counts of the bucket tell.
+        unknown = np.exp(way[len(near):]) * 0.1 / reader.trees.mass[bucket]
+        depth, rise = vocab.bits[slot], lead.copy()
+        for level in range(others.shape[1]):
+            right = (code & 0xFFFFFFFF) >> np.maximum(31 - depth - level, 0) & 1
+            rise -= np.log1p(others[:, level] * np.exp(np.where(right, -1, 1) * tilts[:, level] / maxent.FINE))
+        share = unknown * np.exp(rise)
+        np.add.at(p, slot, share)
+        first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+        np.add.at(p, slot[first], unknown[first])
+        # Only slots whose buckets all hold a counted token are whole here.
+        whole = [s for s in set(slot.tolist()) if len(set(bucket[slot == s].tolist())) == 1 << vocab.bits[s]]
+        assert len(whole) > 3 and np.allclose(p[whole], 1, atol=1e-3)
+        shares.append(share)
+    assert np.abs(np.log(shares[0] / shares[1])).mean() > 0.1
+
+
+@pytest.mark.parametrize("near", [maxent.NEAR, 700])
+def test_the_history_moves_rare_tokens_of_one_slot(spark, monkeypatch, near):
+    monkeypatch.setattr(maxent, "NEAR", near)
+    rows, words = [], [f"x{i}e" for i in range(40)]
+    for i in range(600):
+        rows.append((1000 + i, " ".join(f"filler{(i * 7 + k) % 700}s" for k in range(40))))
+    for i in range(240):
+        rows.append((5000 + i, " ".join(f"filler{i % 40}s {words[i % 40]}" for _ in range(4))))
+    # All of the words end alike and share a slot; after filler k comes word k and no other.
+    rows += [(1, "filler3s x3e"), (2, "filler3s x9e"), (3, "filler9s x9e"), (4, "filler9s x3e")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    score = {r.doc_id: r.score for r in maxent.score(docs, F.col("doc_id") < 10).collect() if r.doc_id and r.doc_id < 10}
+    assert score[1] - score[2] + score[3] - score[4] > 0.2
